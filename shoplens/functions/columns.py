@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-_EPOCH_NTZ = _dt.datetime(1970, 1, 1)
+# typed literal: a Python datetime literal would pass through the session zone
+_EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 # Money scales: prices carry cents, payments may be halves of a cent-priced
 # total, a price plus a rate-based freight carries four places.
@@ -31,7 +30,7 @@ def epoch_seconds(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if not is_ntz(df, name):
         return c.cast("long")
-    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c)
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
     # floor division for negative values too
     return ((micros - F.pmod(micros, F.lit(1_000_000))) / F.lit(1_000_000)).cast("long")
 

@@ -54,8 +54,8 @@ def _stored_schema(spark, path: str, fmt: str):
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", options: dict | None = None) -> None:
-    """CSV with a header row (the source file layout)."""
-    w = df.write.format("csv").mode(mode).option("header", "true")
+    """CSV with a header row; a quote inside a field is doubled (RFC 4180)."""
+    w = df.write.format("csv").mode(mode).option("header", "true").option("escape", '"')
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.save(path)

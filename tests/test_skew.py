@@ -1,0 +1,70 @@
+"""Hot-group splitting gives the same result as the plain plan (checked by brute force)."""
+
+import itertools
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import sorted_rows
+from shoplens.operators import features
+from shoplens.plans.skew import blocked_pairs, hot_keys, split_by_hot
+
+
+def _enriched(spark, baskets):
+    rows = [(o, p) for o, ps in baskets.items() for p in ps]
+    return spark.createDataFrame(rows, "order_id string, product_id string")
+
+
+def _brute_pairs(baskets):
+    out = {}
+    for ps in baskets.values():
+        for a, b in itertools.combinations(sorted(set(p for p in ps if p is not None)), 2):
+            out[(a, b)] = out.get((a, b), 0) + 1
+    return sorted((a, b, n) for (a, b), n in out.items())
+
+
+def _baskets(seed):
+    rnd = random.Random(seed)
+    b = {f"o{i}": [f"p{rnd.randrange(40):02d}" for _ in range(rnd.randrange(1, 6))] for i in range(30)}
+    b["hot"] = [f"p{j:02d}" for j in range(60)] + ["p01", None]      # a basket far above the others
+    b["warm"] = [f"p{j:02d}" for j in range(0, 60, 2)]
+    return b
+
+
+def test_hot_keys_are_bounded_and_ordered(spark):
+    df = _enriched(spark, _baskets(1))
+    hot = hot_keys(df, "order_id", 20, max_keys=1).collect()
+    assert [(r["order_id"], r["group_rows"]) for r in hot] == [("hot", 62)]
+    assert hot_keys(df, "order_id", 1000) is None
+
+
+def test_cooccurrence_with_split_baskets_equals_brute_force(spark):
+    b = _baskets(2)
+    e = _enriched(spark, b)
+    split = features.product_cooccurrence(e, block_rows=8, hot_basket=16)
+    plain = features.product_cooccurrence(e, block_rows=8, hot_basket=10_000)
+    want = _brute_pairs(b)
+    assert sorted_rows(split, ["product_1", "product_2", "co_orders"]) == want
+    assert sorted_rows(plain, ["product_1", "product_2", "co_orders"]) == want
+
+
+def test_blocked_pairs_meet_once(spark):
+    df = spark.createDataFrame([("g", f"i{j:03d}") for j in range(50)], "g string, item string")
+    hot = hot_keys(df, "g", 10)
+    _, heavy = split_by_hot(df, "g", hot)
+    pairs = blocked_pairs(heavy, "g", "item", 7, "a", "b")
+    got = sorted_rows(pairs, ["a", "b"])
+    assert got == sorted(itertools.combinations(sorted(f"i{j:03d}" for j in range(50)), 2))
+
+
+def test_split_baskets_keep_every_item(spark):
+    b = _baskets(3)
+    e = _enriched(spark, b)
+    parts = features.order_baskets(e, max_items=10).collect()
+    hot_parts = [p for p in parts if p["order_id"] == "hot"]
+    assert len(hot_parts) == 7  # ceil(61 / 10)
+    assert sorted(x for p in hot_parts for x in p["products"]) == sorted(p for p in b["hot"] if p)
+    assert all(p["n_products"] == len(p["products"]) for p in parts)
+    small = {p["order_id"]: p for p in parts if p["order_id"] not in ("hot", "warm")}
+    assert all(p["basket_part"] == 0 for p in small.values())
+    assert sorted(small["o0"]["products"]) == sorted(b["o0"])
