@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.plans.skew import HotKeys, blocked_inner_join, hot_key_sizes, null_extend
 from shoplens.functions.columns import (
     PAYMENT_SCALE,
     PRICE_SCALE,
@@ -48,9 +49,75 @@ def join_category(products: DataFrame, category: DataFrame) -> DataFrame:
     return products.join(category, "product_category_name", "left")
 
 
-def join_items_payments(items: DataFrame, payments: DataFrame) -> DataFrame:
-    """Items left-joined to payments on ``order_id``: many-to-many per order."""
-    return items.join(payments, "order_id", "left")
+def join_items_payments(items: DataFrame, payments: DataFrame, split_hot: bool = True) -> DataFrame:
+    """Items left-joined to payments on ``order_id``: many-to-many per order.
+
+    Orders whose item x payment rows exceed ``HOT_JOIN_ROWS`` are joined in
+    hash blocks (see ``hot_safe_left_joins``).
+    """
+    return hot_safe_left_joins("order_id", [items, payments], split_hot=split_hot)
+
+
+# A key whose joined rows (or rows in any input) exceed HOT_JOIN_ROWS is joined
+# in blocks; a block holds about JOIN_BLOCK_ROWS rows of a side.
+HOT_JOIN_ROWS = 40_000
+JOIN_BLOCK_ROWS = 20_000
+
+
+def _hot_left_join(left: DataFrame, right: DataFrame, key: str, sizes: DataFrame,
+                   left_rows: str, right_rows: str, block_rows: int) -> DataFrame:
+    """left LEFT JOIN right for hot keys only, exact, in blocks.
+
+    Where the right side has rows for a key, every left row of the key finds a
+    match, so the left join is an inner join and can be blocked; where it has
+    none, the left rows pass through with null right columns.
+    """
+    matched = sizes.where(F.col(right_rows) > 0)
+    unmatched = F.broadcast(sizes.where(F.col(right_rows) == 0).select(key))
+    m = F.broadcast(matched.select(key))
+    inner = blocked_inner_join(left.join(m, key, "left_semi"), right.join(m, key, "left_semi"),
+                               key, matched, left_rows, right_rows, block_rows)
+    alone = null_extend(left.join(unmatched, key, "left_semi"), right, key)
+    return inner.unionByName(alone)
+
+
+def hot_safe_left_joins(key: str, frames: list[DataFrame], split_hot: bool = True,
+                        hot_rows: int = HOT_JOIN_ROWS, block_rows: int = JOIN_BLOCK_ROWS,
+                        sizes: HotKeys | None = None) -> DataFrame:
+    """frames[0] LEFT JOIN frames[1] LEFT JOIN ... on ``key`` (USING semantics).
+
+    Ordinary keys take sort-merge joins. A hot key (one job finds at most
+    ``MAX_HOT_KEYS`` of them from per-key counts) would put all its rows, or
+    the product of its rows, on one task, and Spark's adaptive skew split
+    cannot split the non-preserved side of a left join. Hot keys are
+    therefore joined apart, in hash blocks whose sizes come from the counts,
+    and the two parts are unioned: the same rows as the plain joins.
+    ``sizes`` may be passed in when the caller has counted these frames
+    (with a threshold at most ``hot_rows``).
+    """
+    def plain(fs):
+        out = fs[0]
+        for f in fs[1:]:
+            out = out.join(f, key, "left")
+        return out
+
+    if not split_hot:
+        return plain(frames)
+    if sizes is None:
+        sizes = hot_key_sizes(key, frames, hot_rows)
+    sizes = sizes.subset(lambda r: r["join_rows"] > hot_rows
+                         or any(r[f"n{j}"] > hot_rows for j in range(len(frames))))
+    if sizes is None:
+        return plain(frames)
+    hot = F.broadcast(sizes.select(key))
+    cold = plain([f.join(hot, key, "left_anti") for f in frames])
+    acc = frames[0].join(hot, key, "left_semi")
+    acc_rows = F.col("n0")
+    for j, f in enumerate(frames[1:], start=1):
+        step = sizes.select(key, acc_rows.alias("_nl"), F.col(f"n{j}").alias("_nr"))
+        acc = _hot_left_join(acc, f.join(hot, key, "left_semi"), key, step, "_nl", "_nr", block_rows)
+        acc_rows = acc_rows * F.greatest(F.col(f"n{j}"), F.lit(1))
+    return cold.unionByName(acc)
 
 
 # ------------------------------------------------------------------- E1 orders
@@ -67,14 +134,29 @@ def with_order_metrics(df: DataFrame) -> DataFrame:
     })
 
 
-def orders_enriched(orders: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+# Orders are counted once per query; the counts serve the joins here and the
+# basket and pair operators downstream, so the threshold is the least of theirs.
+ORDER_SIZE_MIN_ROWS = 8_192
+
+
+def order_sizes(orders: DataFrame, items: DataFrame, reviews: DataFrame,
+                min_rows: int = ORDER_SIZE_MIN_ROWS) -> HotKeys:
+    """Rows per order in orders, items, reviews (n0, n1, n2) and joined (join_rows),
+    for orders over ``min_rows``: one aggregation over the three key columns."""
+    return hot_key_sizes("order_id", [orders, items, reviews], min_rows)
+
+
+def orders_enriched(orders: DataFrame, items: DataFrame, reviews: DataFrame,
+                    split_hot: bool = True, sizes: HotKeys | None = None) -> DataFrame:
     """One row per order x item x review (left joins), plus derived columns.
 
     Both joins are on ``order_id``: with sort-merge joins the first join's
     output is already hash-partitioned by the key, so each input is shuffled
-    once and the second join adds no exchange.
+    once and the second join adds no exchange. Orders with very many items
+    or reviews are joined in blocks (``hot_safe_left_joins``).
     """
-    return with_order_metrics(join_reviews(join_order_items(orders, items), reviews))
+    return with_order_metrics(hot_safe_left_joins("order_id", [orders, items, reviews],
+                                                  split_hot=split_hot, sizes=sizes))
 
 
 # ----------------------------------------------------------------- E2 products

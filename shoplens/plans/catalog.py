@@ -31,9 +31,15 @@ def _fx(spark: SparkSession, d: str, *names: str) -> list[DataFrame]:
     return [fixture(spark, d, n) for n in names]
 
 
-def _enriched(spark: SparkSession, d: str) -> DataFrame:
+def _enriched_sized(spark: SparkSession, d: str):
+    """orders_enriched and the order size profile it was split by (one count)."""
     o, i, r = _fx(spark, d, "orders", "order_items", "reviews")
-    return enrich.orders_enriched(o, i, r)
+    sizes = enrich.order_sizes(o, i, r)
+    return enrich.orders_enriched(o, i, r, sizes=sizes), sizes
+
+
+def _enriched(spark: SparkSession, d: str) -> DataFrame:
+    return _enriched_sized(spark, d)[0]
 
 
 # ----------------------------------------------------------------- sources
@@ -155,7 +161,8 @@ def dq_quarantine_orders(spark, d):
 
 
 def order_baskets(spark, d):
-    b = features.order_baskets(_enriched(spark, d))
+    e, sizes = _enriched_sized(spark, d)
+    b = features.order_baskets(e, order_sizes=sizes)
     return b.withColumn("products", F.array_join("products", ","))
 
 
@@ -164,7 +171,8 @@ def product_basket_items(spark, d):
 
 
 def product_cooccurrence(spark, d):
-    return features.product_cooccurrence(_enriched(spark, d))
+    e, sizes = _enriched_sized(spark, d)
+    return features.product_cooccurrence(e, order_sizes=sizes)
 
 
 def customer_product_interactions(spark, d):

@@ -68,3 +68,42 @@ def test_split_baskets_keep_every_item(spark):
     small = {p["order_id"]: p for p in parts if p["order_id"] not in ("hot", "warm")}
     assert all(p["basket_part"] == 0 for p in small.values())
     assert sorted(small["o0"]["products"]) == sorted(b["o0"])
+
+
+def test_hot_safe_left_joins_equal_plain_joins(spark):
+    from shoplens.operators.enrich import hot_safe_left_joins
+    orders = [(f"o{i}", f"c{i % 3}") for i in range(10)] + [("hot", "c9"), ("lonely", "c8"), (None, "cx")]
+    items = ([("hot", j, f"p{j % 7}") for j in range(50)] + [(f"o{i}", j, f"p{j}") for i in range(1, 6)
+             for j in range(i % 3 + 1)] + [("ghost", j, "p1") for j in range(30)] + [(None, 0, "pn")])
+    reviews = ([("hot", f"h{j}", j % 5) for j in range(7)] + [("lonely", f"l{j}", 1) for j in range(40)]
+               + [("o2", "r1", 3), ("o2", "r2", 4), (None, "rn", 2)])
+    o = spark.createDataFrame(orders, "order_id string, customer_id string")
+    i = spark.createDataFrame(items, "order_id string, n int, product_id string")
+    r = spark.createDataFrame(reviews, "order_id string, review_id string, score int")
+    cols = ["order_id", "customer_id", "n", "product_id", "review_id", "score"]
+    want = sorted_rows(hot_safe_left_joins("order_id", [o, i, r], split_hot=False), cols)
+    got_df = hot_safe_left_joins("order_id", [o, i, r], hot_rows=10, block_rows=4)
+    assert got_df.columns == cols
+    assert sorted_rows(got_df, cols) == want
+    # hot 50x7, lonely 40, o0 1, o1 2, o2 3x2, o3 1, o4 2, o5 3, o6..o9 4, null key 1
+    assert len(want) == 350 + 40 + 1 + 2 + 6 + 1 + 2 + 3 + 4 + 1
+
+
+def test_shared_order_profile_splits_like_own_detection(spark):
+    from shoplens.operators import enrich
+    b = _baskets(4)
+    items = spark.createDataFrame([(o, p) for o, ps in b.items() for p in ps if p], "order_id string, product_id string")
+    orders = spark.createDataFrame([(o,) for o in b], "order_id string")
+    reviews = spark.createDataFrame([("hot", "r1"), ("hot", "r2")], "order_id string, review_id string")
+    sizes = enrich.order_sizes(orders, items, reviews, min_rows=5)
+    assert {r[0] for r in sizes.rows} >= {"hot", "warm"}
+    e = enrich.hot_safe_left_joins("order_id", [orders, items, reviews], hot_rows=5, block_rows=4,
+                                   sizes=sizes)
+    plain = enrich.hot_safe_left_joins("order_id", [orders, items, reviews], split_hot=False)
+    cols = ["order_id", "product_id", "review_id"]
+    assert sorted_rows(e, cols) == sorted_rows(plain, cols)
+    got = features.product_cooccurrence(e, block_rows=8, hot_basket=16, order_sizes=sizes)
+    want = features.product_cooccurrence(plain, hot_basket=10**9)
+    assert sorted_rows(got) == sorted_rows(want)
+    parts = features.order_baskets(e, max_items=20, order_sizes=sizes).where("order_id = 'hot'").collect()
+    assert len(parts) > 1 and sum(p["n_products"] for p in parts) == 2 * 61
