@@ -28,14 +28,14 @@ from shoplens.functions.columns import (
 # ---------------------------------------------------------------- joins (J1-J7)
 
 
-def join_order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
+def join_order_items(orders: DataFrame, items: DataFrame, split_hot: bool = True) -> DataFrame:
     """Orders left-joined to their items on ``order_id`` (orders without items kept)."""
-    return orders.join(items, "order_id", "left")
+    return hot_safe_left_joins("order_id", [orders, items], split_hot=split_hot)
 
 
-def join_reviews(left: DataFrame, reviews: DataFrame) -> DataFrame:
+def join_reviews(left: DataFrame, reviews: DataFrame, split_hot: bool = True) -> DataFrame:
     """Any order-keyed frame left-joined to reviews on ``order_id``."""
-    return left.join(reviews, "order_id", "left")
+    return hot_safe_left_joins("order_id", [left, reviews], split_hot=split_hot)
 
 
 def join_category(products: DataFrame, category: DataFrame) -> DataFrame:
