@@ -114,12 +114,31 @@ _GEO_JOIN = {
 CTE_PREFIX = "b_"
 
 
+# The test tables are read-only: one reader per (application, file) keeps its
+# file listing and footer schema, as a catalog table would.
+_READERS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local context
+        return str(id(spark))
+
+
+def _parquet(spark: SparkSession, path: str) -> DataFrame:
+    k = (_app_id(spark), path)
+    if k not in _READERS:
+        _READERS[k] = spark.read.parquet(path)
+    return _READERS[k]
+
+
 def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = _parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in _GEO_JOIN:
         # nation (25 rows) and region (5 rows): Spark broadcasts them on size
-        nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
-        region = spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
+        nation = _parquet(spark, f"{sf_dir.rstrip('/')}/nation.parquet")
+        region = _parquet(spark, f"{sf_dir.rstrip('/')}/region.parquet")
         df = (df.join(nation, F.col(_GEO_JOIN[name]) == F.col("n_nationkey"))
                 .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
     return df

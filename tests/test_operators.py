@@ -150,3 +150,10 @@ def test_customer_value_equals_fanout(spark, items, pays, orders):
         assert g[1] == w[1]
         for a, b in ((g[0], w[0]), (g[2], w[2])):
             assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12)
+
+
+def test_recency_defaults_to_today(spark):
+    e = spark.createDataFrame([("c1", dt.datetime(2020, 1, 1), 1.0)],
+                              "customer_id string, order_purchase_timestamp timestamp_ntz, total_value double")
+    r = features.customer_rfm(e).first()
+    assert r["recency"] == (dt.date.today() - dt.date(2020, 1, 1)).days
