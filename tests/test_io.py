@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from conftest import SF_SMALL

@@ -7,8 +7,7 @@ import pytest
 
 from conftest import SF_SMALL
 from shoplens.plans import layers
-from shoplens.schemas import SOURCE_FILES, TableSpec
-from shoplens.schemas import ORDERS
+from shoplens.schemas import ORDERS, SOURCE_FILES, TableSpec
 from shoplens.sinks.tables import write_csv
 from shoplens.sources.fixtures import fixtures
 from shoplens.sources.tables import read_table, table_path

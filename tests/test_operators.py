@@ -1,12 +1,10 @@
 """Operators on tiny hand-made frames: fan-out, null keys, empty input, grains."""
 
 import datetime as dt
-import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import sorted_rows
 from shoplens.functions.columns import epoch_seconds

@@ -3,7 +3,6 @@
 import itertools
 import random
 
-from pyspark.sql import functions as F
 
 from conftest import sorted_rows
 from shoplens.operators import features
