@@ -51,7 +51,7 @@ def test_blocked_pairs_meet_once(spark):
     df = spark.createDataFrame([("g", f"i{j:03d}") for j in range(50)], "g string, item string")
     hot = hot_keys(df, "g", 10)
     _, heavy = split_by_hot(df, "g", hot)
-    pairs = blocked_pairs(heavy, "g", "item", 7, "a", "b")
+    pairs = blocked_pairs(heavy, hot, "g", "item", 7, "a", "b")
     got = sorted_rows(pairs, ["a", "b"])
     assert got == sorted(itertools.combinations(sorted(f"i{j:03d}" for j in range(50)), 2))
 
