@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.plans.skew import HotKeys, blocked_inner_join, hot_key_sizes, null_extend
+from shoplens.plans.skew import HotKeys, blocked_inner_join, capped_product, hot_key_sizes, null_extend
 from shoplens.functions.columns import (
     PAYMENT_SCALE,
     PRICE_SCALE,
@@ -116,7 +116,7 @@ def hot_safe_left_joins(key: str, frames: list[DataFrame], split_hot: bool = Tru
     for j, f in enumerate(frames[1:], start=1):
         step = sizes.select(key, acc_rows.alias("_nl"), F.col(f"n{j}").alias("_nr"))
         acc = _hot_left_join(acc, f.join(hot, key, "left_semi"), key, step, "_nl", "_nr", block_rows)
-        acc_rows = acc_rows * F.greatest(F.col(f"n{j}"), F.lit(1))
+        acc_rows = capped_product(acc_rows, F.greatest(F.col(f"n{j}"), F.lit(1)))
     return cold.unionByName(acc)
 
 
