@@ -4,8 +4,9 @@
 
 Each query runs end to end from the parquet test tables into the ``noop``
 sink (every row computed, nothing collected): one warm-up run, then the
-median of ``BENCH_RUNS`` (default 5; this machine varies by up to 20 % between runs) timed runs. ``value`` is the sum of the
-medians; the two model fits are timed once each under ``models``.
+median of ``BENCH_RUNS`` timed runs (default 5; this machine varies by up to
+20 % between runs). ``value`` is the sum of the medians; the two model fits
+are timed once each under ``models``.
 """
 
 from __future__ import annotations

@@ -106,3 +106,19 @@ def test_shared_order_profile_splits_like_own_detection(spark):
     assert sorted_rows(got) == sorted_rows(want)
     parts = features.order_baskets(e, max_items=20, order_sizes=sizes).where("order_id = 'hot'").collect()
     assert len(parts) > 1 and sum(p["n_products"] for p in parts) == 2 * 61
+
+
+def test_blocked_path_on_real_fixtures_equals_plain(spark):
+    """Hundreds of orders forced onto the blocked path, with real columns and nulls."""
+    from conftest import SF_SMALL
+    from shoplens.operators import enrich
+    from shoplens.sources.fixtures import fixture
+    o, i, r = (fixture(spark, SF_SMALL, t) for t in ("orders", "order_items", "reviews"))
+    sizes = enrich.order_sizes(o, i, r, min_rows=4)
+    assert len(sizes.rows) > 100
+    split = enrich.with_order_metrics(
+        enrich.hot_safe_left_joins("order_id", [o, i, r], hot_rows=4, block_rows=2, sizes=sizes))
+    plain = enrich.orders_enriched(o, i, r, split_hot=False)
+    assert split.columns == plain.columns
+    assert split.count() == plain.count() == 8021
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
