@@ -122,3 +122,12 @@ def test_blocked_path_on_real_fixtures_equals_plain(spark):
     assert split.columns == plain.columns
     assert split.count() == plain.count() == 8021
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+
+
+def test_repeated_product_spreads_over_parts(spark):
+    rows = [("big", "p1", n, None) for n in range(40)] + [("small", "p2", 1, None)]
+    e = spark.createDataFrame(rows, "order_id string, product_id string, order_item_id int, review_id string")
+    parts = features.order_baskets(e, max_items=10).collect()
+    big = [p for p in parts if p["order_id"] == "big"]
+    assert len(big) > 1 and sum(p["n_products"] for p in big) == 40
+    assert all(p["n_products"] < 40 for p in big)
