@@ -10,7 +10,7 @@
 
 Each step prints its outcome rows. ``--master`` defaults to the cluster's
 (from spark-submit); ``--fmt`` picks the table format (parquet, or delta if
-installed).
+installed); ``--shuffle-partitions`` sizes the shuffles.
 """
 
 from __future__ import annotations
@@ -48,8 +48,12 @@ def main(argv=None) -> None:
     p.add_argument("--max-iter", type=int, default=10)
     p.add_argument("--reg", type=float, default=0.01)
     p.add_argument("--master", default=None)
+    p.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="size to the largest shuffle, e.g. its bytes / 200 MB (AQE coalesces)")
     a = p.parse_args(argv)
     spark = _session(a.master)
+    if a.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     steps = ["load", "verify", "quality", "silver", "gold", "models"] if a.step == "all" else [a.step]
     for step in steps:
         if step == "load":
