@@ -35,6 +35,8 @@ def test_layered_run(spark, source_dir, tmp_path):
     counts = {r["table_name"]: r["row_count"] for r in layers.bronze_counts(spark, root).collect()}
     assert counts["payments"] == 2250 and counts["product_category"] == 5
     silver = {r["table_name"]: r["rows"] for r in layers.build_silver(spark, root).collect()}
+    # the order-size profile is stored for the gold step (no hot order at sf0.001)
+    assert read_table(spark, table_path(root, "stats", "order_sizes")).count() == 0
     assert silver["orders_enriched"] == 8021 and silver["products_enriched"] == 200
     gold = {r["table_name"]: r["rows"] for r in layers.build_gold(spark, root, dt.date(2002, 1, 1)).collect()}
     assert gold["customer_product_interactions"] == 7987 and gold["product_cooccurrence"] == 8899

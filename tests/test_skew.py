@@ -131,3 +131,20 @@ def test_repeated_product_spreads_over_parts(spark):
     big = [p for p in parts if p["order_id"] == "big"]
     assert len(big) > 1 and sum(p["n_products"] for p in big) == 40
     assert all(p["n_products"] < 40 for p in big)
+
+
+def test_stored_profile_roundtrip(spark, tmp_path):
+    from shoplens.operators import enrich
+    from shoplens.plans.skew import HotKeys
+    from shoplens.sinks.tables import write_table
+    from shoplens.sources.tables import read_table
+    b = _baskets(5)
+    items = spark.createDataFrame([(o, p) for o, ps in b.items() for p in ps if p],
+                                  "order_id string, product_id string")
+    orders = spark.createDataFrame([(o,) for o in b], "order_id string")
+    reviews = spark.createDataFrame([("hot", "r1")], "order_id string, review_id string")
+    sizes = enrich.order_sizes(orders, items, reviews, min_rows=5)
+    path = str(tmp_path / "order_sizes")
+    write_table(sizes.frame(), path)
+    back = HotKeys.from_frame(read_table(spark, path), "order_id", 3)
+    assert sorted(back.rows) == sorted(sizes.rows) and len(back.rows) >= 2
