@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import save, text_slices
-from shoplens.llm.tokens import WordEncoder, default_tokenizer
+from shoplens.llm.tokens import default_tokenizer, encoder_for
 
 CAPACITY, END_ID = 2048, 0
 #: Work of the search; beyond it the best solution so far stands.
@@ -208,7 +208,7 @@ PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long,"
 
 def _cut(path: str, capacity: int, end_id: int):
     def run(batches):
-        encoder, part = WordEncoder(path), TaskContext.get().partitionId()
+        encoder, part = encoder_for(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for rows, texts in text_slices(batches):
             ids, offsets = encoder.encode(texts, end_id)

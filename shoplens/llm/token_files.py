@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import text_slices
 from shoplens.llm.store import open_input, write_whole
-from shoplens.llm.tokens import WordEncoder, default_tokenizer
+from shoplens.llm.tokens import default_tokenizer, encoder_for
 from shoplens.session import scratch_path
 
 WIDTH, END_ID, ROWS_PER_BATCH = 2048, 2, 1024
@@ -69,7 +69,7 @@ class _PartWriter:
 
 def _write_part(root: str, path: str, width: int, end_id: int, id_type: str):
     def run(batches):
-        encoder, part = WordEncoder(path), TaskContext.get().partitionId()
+        encoder, part = encoder_for(path), TaskContext.get().partitionId()
         index, state = [], {}
 
         def fill(stream):

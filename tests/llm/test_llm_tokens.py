@@ -13,7 +13,8 @@ from shoplens.llm.common import as_text, table
 from shoplens.llm.tokens import WordEncoder, default_tokenizer
 
 ODD = ["", " ", "\t a\n", "It's o'clock'll 12,5", "á é ﬁ Ⅳ Ω", "x y z w\x1fq", "<|endoftext|> a<|startoftext|>b",
-       "ΑΣ ΟΔΟΣ", "́ é", "a" * 5000, "no\x00nul", "ẞ İ ŉ", "emoji 👩‍👩‍👧 !!??", "'s 't 're x's"]
+       "ΑΣ ΟΔΟΣ", "́ é", "a" * 5000, "no\x00nul", "ẞ İ ŉ", "emoji 👩‍👩‍👧 !!??", "'s 't 're x's",
+       "İstanbul, İ. aİ क़, क़ ok. The, THE. the <|STARTOFTEXT|>, ², ½. ß. Ü, 5. a.b. a,. ., .. , J̌ ǰ J̌."]
 
 
 @pytest.fixture(scope="module")
