@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import mixing, packing, sharding, token_files, warc
+from shoplens.llm import mixing, packing, pii, quality, sharding, token_files, warc
 from shoplens.llm.common import table
 from shoplens.session import scratch_path
 
@@ -25,6 +25,17 @@ def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    base = F.sha2(pii.spans_text(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *[pii.count_kind(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+                        base.alias("base_sha256"), pii.spans_text(F.concat("base", "extra")).alias("spans"))
+
+
 def op8_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
@@ -34,4 +45,4 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bestfit_sharding, op4_warc_salvage, op5_bin_completion, op8_fair_queueing, op9_arrow_sequences)}
+QUERIES = {f.__name__: f for f in (op2_bestfit_sharding, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences)}

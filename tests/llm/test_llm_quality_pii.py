@@ -1,0 +1,225 @@
+"""Quality statistics and trees, and personal data, against brute force."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from shoplens.llm import pii, quality, queries
+from shoplens.llm.common import as_text, table
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# ---------------------------------------------------------------- quality
+
+def brute_base(text):
+    words = WORD.findall(text or "")
+    windows = {}
+    for i in range(len(words) - 7):
+        windows.setdefault(tuple(words[i:i + 8]), []).append(i)
+    covered = {i + j for at in windows.values() if len(at) > 1 for i in at for j in range(8)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered),
+            n < 20 or 100 * len(covered) > 30 * n)
+
+
+ODD = ["", " \n\t\n ", "a " * 30, "é\n é\né\n\né", "x y z\nx y z\n x y z", "# * $|<>&% ok", "a b\x1fc d\x85e", "w1 " * 7 + "w2 " + "w1 " * 7 + "w2 ",
+       "one two three four five six seven eight nine " * 4000, "\x0b\x0c word", "👩‍👩‍👧 ñ"]
+
+
+def test_base_counts_equal_brute_force(spark):
+    texts = ODD + [r["text"] for r in table(spark, SF, "documents").collect()]
+    s = quality.statistics(as_text(pa.array(texts)))
+    got = list(zip(*[s[b].tolist() for b in quality.BASE], quality.base_failed(s).tolist(), strict=True))
+    assert got == [brute_base(t) for t in texts]
+    assert np.isfinite(quality.feature_matrix(s)).all()
+    assert len(quality.statistics(as_text(pa.array([], pa.string())))["n_words"]) == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n|é\t", max_size=60), max_size=5))
+def test_base_counts_property(texts):
+    s = quality.statistics(as_text(pa.array(texts, pa.string())))
+    assert list(zip(*[s[b].tolist() for b in quality.BASE], quality.base_failed(s).tolist(), strict=True)) == [brute_base(t) for t in texts]
+
+
+def test_trees_learn_and_keep_the_directions():
+    rng = np.random.default_rng(1)
+    x = rng.random((4000, 3))
+    y = (x[:, 0] + 0.3 * np.sin(20 * x[:, 1]) + 0.2 * rng.standard_normal(4000) > 0.6).astype(float)
+    for direction in (1, -1, 0):
+        trees = quality.fit_trees(x[:3000], y[:3000], [direction, 0, 0])
+        score = trees.score(x[3000:])
+        if direction >= 0:
+            assert ((score > 0) == y[3000:]).mean() > 0.8
+        if direction:
+            grid = np.repeat(x[3000:3050], 40, axis=0)
+            grid[:, 0] = np.tile(np.linspace(-0.1, 1.1, 40), 50)
+            steps = np.diff(trees.score(grid).reshape(50, 40), axis=1)
+            assert (direction * steps >= -1e-9).all()
+
+
+def test_flattened_trees_equal_a_walk():
+    rng = np.random.default_rng(2)
+    x, y = rng.random((300, 4)), (rng.random(300) > 0.5).astype(float)
+    t = quality.fit_trees(x, y, [0, 1, -1, 0], trees=7)
+
+    def walk(row):
+        total = t.start
+        for node in t.roots:
+            while t.left[node] != node:
+                node = t.right[node] if row[t.feature[node]] > t.threshold[node] else t.left[node]
+            total += t.value[node]
+        return total
+
+    assert np.allclose(t.score(x), [walk(r) for r in x])
+
+
+def test_held_out_accuracy(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    train = labels.where("doc_id % 3 <> 0")
+    rated = quality.rate_documents(docs, train).join(labels.where("doc_id % 3 = 0"), "doc_id").where("not base_failed")
+    r = rated.agg(F.count("*").alias("n"), F.count_if(F.expr("kept = (quality = 1)")).alias("right"), F.count_if(F.expr("quality = 1 and not kept")).alias("lost")).first()
+    assert r["n"] > 500 and r["right"] >= 0.98 * r["n"] and r["lost"] <= 0.01 * r["n"]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, "clash", 1) for d, t in rows], "doc_id long, text string, kept string, n_words int")
+
+
+def test_quality_odd_rows(spark):
+    good = "the cat sat on a mat and looked at every bird that came along the garden wall on that fine day in may"
+    rows = [(1, good), (1, good), (None, good), (2, None), (3, ""), *[(10 + i, t) for i, t in enumerate(ODD)]]
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    out = quality.rate_documents(frame(spark, rows), none).collect()
+    assert sorted((str(r["doc_id"]), *[r[b] for b in quality.BASE], r["base_failed"]) for r in out) == sorted((str(d), *brute_base(t)) for d, t in rows)
+    assert all(r["kept"] == (not r["base_failed"]) for r in out)
+    odd = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (2, None, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    assert quality.rate_documents(frame(spark, rows), odd).count() == len(rows)
+    assert quality.rate_documents(frame(spark, []), odd).count() == 0
+    kept = quality.keep_good(frame(spark, rows), none)
+    assert kept.columns == ["doc_id", "text", "kept", "n_words"] and kept.where("text is null").count() == 0 and kept.count() >= 3
+
+
+# -------------------------------------------------------------------- PII
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+
+
+def plain_luhn(d):
+    x = [int(c) for c in d][::-1]
+    return (sum(x[::2]) + sum(sum(divmod(2 * k, 10)) for k in x[1::2])) % 10 == 0
+
+
+def brute_spans(text):
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub(r"[^0-9]", "", m[0])
+        if 14 <= len(d) <= 19 and plain_luhn(d):
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(re.sub(r"[^0-9]", "", m[0])) <= 15]
+    return sorted(out)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="a1@.+-() 0é4_", max_size=40) | st.text(alphabet="0123456789 -.+", max_size=40))
+def test_base_spans_property(text):
+    assert pii.base_spans(text) == brute_spans(text)
+
+
+def test_base_spans_on_documents(spark):
+    d = table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()
+    got = [pii.base_spans(r["text"]) for r in d]
+    assert got == [brute_spans(r["text"]) for r in d]
+    assert {k for s in got for _, k, _ in s} == {0, 1, 2, 3}
+
+
+def test_query_digests(spark):
+    out = {r["doc_id"]: r for r in queries.op7_bootstrapped_pii(spark, SF).collect()}
+    for r in table(spark, SF, "documents").collect():
+        spans = [f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in brute_spans(r["text"])]
+        own = out[r["doc_id"]]
+        assert own["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert [own[f"n_{k}"] for k in pii.KINDS] == [sum(s.startswith(k) for s in spans) for k in pii.KINDS]
+        assert set(spans) <= set(own["spans"].split(",")) if spans else True
+
+
+def text_frame(spark, rows):
+    return spark.createDataFrame([(d, t, "x", 0, 5) for d, t in rows], "doc_id long, text string, base string, row int, n_chars long")
+
+
+def planted():
+    rng = random.Random(1)
+    fill = lambda: " ".join(rng.choice(["oak", "elm", "ash", "fir", "yew"]) + str(rng.choice("abc")) for _ in range(12))
+    rows = []
+    for i in range(40):  # seeds in a telling context
+        rows.append((i, f"{fill()} reach me under +1 (555) 555-{1000 + 37 * i} any day {fill()}"))
+    for i in range(6):  # unseen: no country code
+        rows.append((100 + i, f"{fill()} reach me under 555-867-{2000 + i} any day {fill()}"))
+    for i in range(40):  # the same shapes in neutral contexts
+        rows.append((200 + i, f"{fill()} order 777-{100 + i}-{3000 + i} {fill()}"))
+    return rows
+
+
+def brute_bootstrap(rows, rounds, support, low, high):
+    edges, seeds = {}, set()
+    for _, t in rows:
+        for _, _, v, k, ps in pii.tokens(t or "", pii.base_spans(t or "")):
+            seeds |= {(v, k)} if k is not None else set()
+            for p in ps:
+                edges.setdefault(p, set()).add(v)
+    known = {x: 1.0 for x in seeds}
+    old = {v for v, _ in seeds}
+    for _ in range(rounds):
+        scores = {}
+        for vs in edges.values():
+            for k in range(4):
+                own = [known[v, k] for v in vs if (v, k) in known]
+                if len(own) >= support and sum(own) / (len(vs) + 1) >= low:
+                    for v in vs:
+                        scores[v, k] = scores.get((v, k), 1.0) * (1 - sum(own) / (len(vs) + 1))
+        known = {x: 1.0 for x in seeds} | {(v, k): 1 - s for (v, k), s in scores.items() if 1 - s >= high and v not in old and pii._fits(k, v)}
+    return known
+
+
+@pytest.mark.parametrize("settings_", [(2, 3, 0.7, 0.9), (3, 2, 0.4, 0.6), (1, 3, 0.7, 0.9)])
+def test_bootstrap_equals_brute_force(spark, settings_):
+    rows = planted() + [(None, None), (5, ""), (6, "x" * 3000 + " 12345678")]
+    found = pii.occurrences(pii.scan(text_frame(spark, rows)))
+    got = {(r["value"], r["kind"]): r["score"] for r in pii.bootstrap(found, *settings_).collect()}
+    expected = brute_bootstrap(rows, *settings_)
+    assert got.keys() == expected.keys() and all(abs(got[x] - expected[x]) < 1e-9 for x in got)
+
+
+def test_unseen_identifiers_are_found_and_masked(spark):
+    rows = planted() + [(300, None), (None, "mail a.b@c.de now"), (301, "mail a.b@c.de now"), (301, "mail a.b@c.de now")]
+    df = text_frame(spark, rows)
+    spans = {r["doc_id"]: r for r in pii.find_spans(df).collect() if r["doc_id"] is not None}
+    for i in range(6):
+        text = dict(rows)[100 + i]
+        assert [(text[s["start"]:s["end"]], s["kind"]) for s in spans[100 + i]["extra"]] == [(f"555-867-{2000 + i}", 3)]
+    assert not any(spans[200 + i]["extra"] for i in range(40)) and spans[300]["base"] == []
+    out = pii.redact(df)
+    assert out.schema == df.schema
+    masked = sorted(((str(r["doc_id"]), r["text"], r["n_chars"], r["base"]) for r in out.collect()), key=str)
+    expect = [(str(d), t if t is None else re.sub(r"\+1 \(555\) 555-\d+|555-867-\d+", "[PHONE]", t).replace("a.b@c.de", "[EMAIL]")) for d, t in rows]
+    assert masked == sorted([(d, t, 5 if t is None else len(t), "x") for d, t in expect], key=str)
+
+
+def test_pii_empty_table(spark):
+    assert pii.find_spans(text_frame(spark, [])).count() == 0 and pii.redact(text_frame(spark, [])).count() == 0
+
+
+def test_mask_overlaps():
+    assert pii.mask("abcdefgh", [(1, 0, 4), (2, 3, 6), (7, 1, 8)]) == "a[EMAIL]g[IP]"
