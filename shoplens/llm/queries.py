@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import mixing, packing, pii, quality, sharding, token_files, warc
+from shoplens.llm import ctw, mixing, packing, pii, quality, sharding, token_files, warc
 from shoplens.llm.common import table
 from shoplens.session import scratch_path
 
@@ -16,6 +16,10 @@ def op2_bestfit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.warc_round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,4 +49,4 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bestfit_sharding, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences)}
+QUERIES = {f.__name__: f for f in (op2_bestfit_sharding, op3_context_tree, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences)}
