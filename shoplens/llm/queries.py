@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import ctw, mixing, packing, pii, quality, sharding, token_files, warc
+from shoplens.llm import ctw, mixing, packing, pii, quality, rabitq, sharding, token_files, warc
 from shoplens.llm.common import table
 from shoplens.session import scratch_path
 
@@ -49,4 +49,8 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bestfit_sharding, op3_context_tree, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences)}
+def op10_rabitq_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op2_bestfit_sharding, op3_context_tree, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences, op10_rabitq_links)}
