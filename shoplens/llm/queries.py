@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import ctw, mixing, packing, pii, quality, rabitq, sharding, token_files, warc
+from shoplens.llm import ctw, minhash, mixing, packing, pii, quality, rabitq, sharding, token_files, warc
 from shoplens.llm.common import table
 from shoplens.session import scratch_path
 
 
+def op1_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicate_groups(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "group_size", "kept")
+
+
 def op2_bestfit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
@@ -53,4 +57,4 @@ def op10_rabitq_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bestfit_sharding, op3_context_tree, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences, op10_rabitq_links)}
+QUERIES = {f.__name__: f for f in (op1_probminhash_dedup, op2_bestfit_sharding, op3_context_tree, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences, op10_rabitq_links)}
