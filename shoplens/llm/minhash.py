@@ -12,7 +12,9 @@ Equal texts are one node. In a bucket every node is first compared with a
 leader, which differs between bands; only the best estimate of each node is
 verified, then those that still join different groups. Last, buckets that hold
 several groups are searched for missing links between the groups, in blocks.
-Buckets whose nodes are linked already cost no comparisons, however large.
+Buckets whose nodes are linked already cost no comparisons, however large. Nor
+do nodes that cannot have such a link: a similarity is never above the share of
+a node's weight in shingles that other groups have, too.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import coded_words, mix64, save, text_key, text_slices
-from shoplens.llm.components import components
+from shoplens.llm.common import as_text, coded_words, mix64, save, text_key, text_slices
+from shoplens.llm.components import components, local_roots
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares one of the bands with probability 1 - 5e-5.
@@ -173,48 +175,108 @@ def _verify(threshold: float):
     return run
 
 
+def _masses(batches):
+    """(node, group, shingle, share of the node's weight) of each text's shingles."""
+    for rows, texts in text_slices(batches, max_bytes=4 << 20):
+        keys, weights, offsets = shingles(texts)
+        sizes = np.diff(offsets)
+        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights, len(sizes))
+        at = np.repeat(np.arange(len(sizes)), sizes)
+        yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(at)), rows.column(1).take(pa.array(at)), pa.array(keys.view(np.int64)),
+                                          pa.array(weights / total[at])], ["node", "group", "shingle", "mass"])
+
+
+def _cells(batches, width: int):
+    """(name, rows) of each cell, of rows that arrive sorted by their first three columns."""
+    name, rows = None, []
+    for batch in batches:
+        for r in zip(*(batch.column(i).to_pylist() for i in range(width)), strict=True):
+            if r[:3] != name:
+                if len(rows) > 1:
+                    yield name, rows
+                name, rows = r[:3], []
+            rows.append(r[3:])
+    if len(rows) > 1:
+        yield name, rows
+
+
+def _sides(name, side):
+    """Row numbers of the two blocks of a cell."""
+    own = np.arange(len(side))
+    return (own, own) if name[1] == name[2] else (own[side == name[1]], own[side == name[2]])
+
+
 def _across(limit: float, bands: int):
-    """Pairs of different groups in cells that arrive sorted; holds one cell."""
-    def run(batches):
-        name, rows = None, []
-        out: list[tuple] = []
+    """Rows of a cell that may have a link to another group, by the estimates.
 
-        def close():
-            if len(rows) < 2:
-                return
-            node, group, side = (np.array([r[i] for r in rows]) for i in range(3))
+    A pair counts in the first band that it shares. Holds one cell.
+    """
+    def run(batches):
+        for name, rows in _cells(batches, 7):
+            group, side = (np.array([r[i] for r in rows]) for i in (1, 2))
             signature = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), -1)
             keys = band_keys(signature, bands).view(np.int64)
             band = int(np.flatnonzero((keys == name[0]).all(axis=0))[0])
-            own = np.arange(len(rows))
-            first, second = (own, own) if name[1] == name[2] else (own[side == name[1]], own[side == name[2]])
+            first, second = _sides(name, side)
             maybe = group[first][:, None] != group[second][None, :]
-            if name[1] == name[2]:
-                maybe &= np.triu(np.ones(maybe.shape, bool), 1)
-            for k in range(band):  # a pair counts in its first band
+            for k in range(band):
                 maybe &= keys[first, k][:, None] != keys[second, k][None, :]
             x, y = np.nonzero(maybe)
+            found = np.zeros(len(rows), bool)
             for i in range(0, len(x), 50_000):
                 a, b = first[x[i:i + 50_000]], second[y[i:i + 50_000]]
-                agree = (signature[a] == signature[b]).mean(axis=1)
-                for p, q, e in zip(node[a[agree >= limit]].tolist(), node[b[agree >= limit]].tolist(), agree[agree >= limit].tolist(), strict=True):
-                    out.append((min(p, q), max(p, q), e))
+                near = (signature[a] == signature[b]).mean(axis=1) >= limit
+                found[a[near]] = found[b[near]] = True
+            at = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([*[pa.array(np.full(len(at), v, t)) for v, t in zip(name, (np.int64, np.int32, np.int32), strict=True)],
+                                              pa.array([rows[i][0] for i in at], pa.int64()), pa.array([rows[i][1] for i in at], pa.int64()),
+                                              pa.array([rows[i][2] for i in at], pa.int32())], ["key", "low", "high", "node", "group", "side"])
+    return run
 
-        def flush():
-            a, b, e = zip(*out, strict=True) if out else ((), (), ())
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(e, pa.float64())], ["a", "b", "estimate"])
 
-        for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
-                if r[:3] != name:
-                    close()
-                    name, rows = r[:3], []
-                rows.append(r[3:])
-                if len(out) > 50_000:
-                    yield flush()
-        close()
-        yield flush()
+def upper_bounds(keys, weights, offsets, first, second, width: int = 4096) -> np.ndarray:
+    """Upper bounds of the probability Jaccard of texts ``first`` with texts ``second``.
+
+    With p and q the shares of two texts' weight in their common shingles, the
+    similarity is at most p q / (q + (1 - q) p); it is that for equal weights.
+    The shares are products of matrices over ``width`` shingles at a time.
+    """
+    n = len(offsets) - 1
+    owner = np.repeat(np.arange(n), np.diff(offsets))
+    share = weights / np.bincount(owner, weights, n)[owner]
+    shingle, code, count = np.unique(keys, return_inverse=True, return_counts=True)
+    kept = count[code] > 1  # those of one text are not common
+    renamed = np.cumsum(count > 1) - 1
+    code, owner, share = renamed[code[kept]], owner[kept], share[kept]
+    order = np.argsort(code, kind="stable")
+    code, owner, share = code[order], owner[order], share[order]
+    p, q = (np.zeros((len(first), len(second))) for _ in range(2))
+    for low in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+        a, b = np.searchsorted(code, [low, low + width])
+        mass = np.zeros((n, width), np.float64)
+        mass[owner[a:b], code[a:b] - low] = share[a:b]
+        has = (mass > 0).astype(np.float64)
+        p += mass[first] @ has[second].T
+        q += has[first] @ mass[second].T
+    return p * q / np.maximum(q + (1 - q) * p, 1e-300)
+
+
+def _settle(threshold: float):
+    """Links between the groups of a cell, on whole texts: each node with its local root."""
+    def run(batches):
+        for name, rows in _cells(batches, 7):
+            group, side = (np.array([r[i] for r in rows]) for i in (1, 2))
+            keys, weights, offsets = shingles(as_text(pa.array([r[3] for r in rows])))
+            first, second = _sides(name, side)
+            bound = upper_bounds(keys, weights, offsets, first, second)
+            x, y = np.nonzero((bound >= threshold - 1e-9) & (group[first][:, None] != group[second][None, :]))
+            x, y = first[x], second[y]
+            own = [slice(offsets[i], offsets[i + 1]) for i in range(len(rows))]
+            link = np.array([probability_jaccard(keys[own[i]], weights[own[i]], keys[own[j]], weights[own[j]]) >= threshold for i, j in zip(x, y, strict=True)], bool)
+            root = local_roots(len(rows), x[link], y[link])
+            at = np.flatnonzero(root != np.arange(len(rows)))
+            groups = group.astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(groups[at]), pa.array(groups[root[at]])], ["a", "b"])
     return run
 
 
@@ -223,8 +285,8 @@ def _with(pairs: DataFrame, side: str, facts: DataFrame, value: str) -> DataFram
     return pairs.join(other, F.col(side) == F.col(f"__{side}")).drop(f"__{side}")
 
 
-def _groups(links: DataFrame, name: str) -> DataFrame:
-    return components(links, name).select("node", F.col("root").alias("group"))
+def _groups(links: DataFrame, name: str, turns: int | None = None) -> DataFrame:
+    return components(links, name, turns).select("node", F.col("root").alias("group"))
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -274,26 +336,43 @@ def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, slack:
     best = turned.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
     best = save(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-best")
     links = verified(best, "minhash-links-0")
-    groups = _groups(links, "minhash-groups-0")
+    groups = _groups(links, "minhash-groups-0", turns=2)  # enough to tell most pairs that are connected
     # the other pairs that would still join two groups
     rest = _apart(pairs.join(best, ["a", "b"], "left_anti"), groups)
     links = links.unionByName(verified(rest, "minhash-links-1"))
     groups = save(_groups(links, "minhash-groups-1"), "minhash-groups")
-    # buckets that hold several groups
+    # buckets that hold several groups, of nodes that can have a link to another group
     placed = members.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    mixed = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("size")).where("low <> high")
+
+    def in_mixed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("size")).where("low <> high")
+
+    mixed = in_mixed(placed).select("key")
+    doubtful = placed.join(mixed, "key", "left_semi").select("node", "group").distinct()
+    masses = save(_with(doubtful, "node", text, "text").select("node", "group", F.col("text_node").alias("text"))
+                  .mapInArrow(_masses, "node long, group long, shingle long, mass double"), "minhash-masses")
+    for turn in range(2):  # nodes that drop out take their shingles with them
+        both = masses.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("shingle")
+        able = masses.join(both, "shingle", "left_semi").groupBy("node").agg(F.sum("mass").alias("mass")).where(F.col("mass") >= threshold - 1e-9)
+        able = save(able.select("node"), f"minhash-able-{turn}")
+        masses = masses.join(able, "node", "left_semi")
+    placed = placed.join(able, "node", "left_semi")
+    mixed = in_mixed(placed)
     parts = F.ceil(F.col("size") / F.lit(block)).cast("int")
     cells = (placed.join(mixed.select("key", parts.alias("parts")), "key").join(sign, "node")
              .withColumn("side", F.pmod(F.xxhash64("node", F.lit(3)), "parts").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "node", "group", "side", "signature"))
     cell = ["key", "low", "high"]
-    across = (cells.repartition(*cell).sortWithinPartitions(*cell)
-              .mapInArrow(_across(limit, BANDS), "a long, b long, estimate double").select("a", "b").distinct())
-    missing = save(across.join(pairs, ["a", "b"], "left_anti"), "minhash-across")
-    if not missing.isEmpty():
-        links = links.unionByName(verified(missing, "minhash-links-2"))
-        groups = _groups(links, "minhash-groups-2")
+    maybe = save(cells.repartition(*cell).sortWithinPartitions(*cell)
+                 .mapInArrow(_across(limit, BANDS), "key long, low int, high int, node long, group long, side int"), "minhash-across")
+    whole = _with(maybe, "node", text, "text").select("key", "low", "high", "node", "group", "side", F.col("text_node").alias("text"))
+    between = save(whole.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_settle(threshold), "a long, b long"), "minhash-between")
+    if not between.isEmpty():  # groups that are linked
+        joint = components(between, "minhash-groups-2").select(F.col("node").alias("__group"), "root")
+        alone = F.coalesce("group", "node")
+        nodes = signed.select("node").distinct().join(groups, "node", "left").withColumn("group", alone)
+        groups = nodes.join(joint, F.col("group") == F.col("__group"), "left").select("node", F.coalesce("root", "group").alias("group"))
     facts = signed.select("doc_id", "node").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     least = facts.groupBy("group").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("group_size"))
     return (facts.join(least, "group").select("doc_id", "node", F.col("group").alias("component"), "group_id", "group_size")

@@ -34,6 +34,8 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame([*edges, (None, 3)], "a long, b long")).collect()}
     assert got == {x: r for x, r in brute_roots([e for e in edges if e[0] != e[1]]).items()}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    few = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), turns=1).collect()}
+    assert few.keys() == got.keys() and all(got[few[x]] == got[x] for x in few)
 
 
 def test_local_roots():

@@ -37,6 +37,27 @@ def test_shingles_and_similarity_equal_brute_force():
             assert abs(minhash.probability_jaccard(*own[i], *own[j]) - similarity(bag(t), bag(u))) < 1e-12
 
 
+def test_upper_bounds_hold_and_are_tight():
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(1, 40))) for _ in range(30)]
+    base = [rng.choice("abcdefghijklmnop") for _ in range(60)]
+    for _ in range(20):
+        copy = list(base)
+        for _ in range(rng.randint(0, 9)):
+            copy[rng.randrange(60)] = rng.choice("xyz")
+        texts.append(" ".join(copy))
+    keys, weights, offsets = minhash.shingles(as_text(pa.array(texts)))
+    own = [(keys[a:b], weights[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    every = np.arange(len(texts))
+    bound = minhash.upper_bounds(keys, weights, offsets, every, every[::-1], width=7)
+    for i in every:
+        for j in np.delete(every, i):
+            true = minhash.probability_jaccard(*own[i], *own[j])
+            assert true <= bound[i, len(texts) - 1 - j] + 1e-9
+            if (own[i][1] == 1).all() and (own[j][1] == 1).all() and len(own[i][0]) == len(own[j][0]):
+                assert abs(true - bound[i, len(texts) - 1 - j]) < 1e-9
+
+
 def test_registers_agree_with_the_probability_jaccard():
     rng = random.Random(1)
     for shared, only, heavy in [(30, 10, 1), (8, 8, 1), (20, 3, 6), (1, 0, 3), (200, 40, 2)]:
