@@ -93,12 +93,33 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, rounds: int = RO
                 .withColumn("row", F.monotonically_increasing_id()), "mix-rows")
     sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, rounds)
     joined = (rows.join(sources.withColumnRenamed("source", "__source"), rows.source.eqNullSafe(F.col("__source")))
-              .select("doc_id", "row", "draw", "rank", "size", "source_size", "target"))
+              .select("doc_id", "source", "row", "draw", "rank", "size", "source_size", "target"))
     queued = running_sum(joined, ["rank"], ["draw", "doc_id", "row"], "size", "served", "mix-queue")
     half = F.col("size") / 2
     due = [F.col("served") + turn * F.col("source_size") - half <= F.col("target") for turn in range(rounds)]
     taken = [(F.col("size") > 0) & d for d in due]
     finish = F.try_divide(F.col("served").cast("double"), F.col("target"))
     times = sum((t.cast("int") for t in taken), F.lit(0))
-    return (queued.select("row", "doc_id", "size", "source_size", "target", finish.alias("finish"), times.alias("times"), "draw")
-            .repartitionByRange("finish", "draw", "row").sortWithinPartitions("finish", "draw", "row").drop("draw"))
+    return (queued.select("row", "doc_id", "source", "size", "source_size", "target", finish.alias("finish"), times.alias("times"), "draw")
+            .repartitionByRange("finish", "draw", "row").sortWithinPartitions("finish", "draw", "row"))
+
+
+def draw_mix(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
+    """The mixed rows of ``docs``, with all their columns, in order of finish time.
+
+    A document taken twice comes twice, at its two places. Rows alike in
+    doc_id, text and source are one row, taken as often as all of them.
+    """
+    mixed = mix(docs, seed=seed, **settings).where("times > 0")
+    alike = mixed.groupBy("doc_id", "source", "draw").agg(
+        F.sum("times").alias("times"), F.min("finish").alias("finish"), F.first(F.col("source_size") / F.col("target")).alias("round"), F.count("*").alias("n"))
+    taken = save(alike, "mix-taken").select(F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("draw").alias("__draw"),
+                                            "times", "finish", "round", "n").withColumnsRenamed({c: f"__{c}" for c in ("times", "finish", "round", "n")})
+    rows = docs.withColumn("__key", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
+    same = rows["doc_id"].eqNullSafe(taken["__doc"]) & rows["source"].eqNullSafe(taken["__source"]) & (rows["__key"] == taken["__draw"])
+    joined = rows.join(taken, same)
+    if not taken.where("__n > 1").isEmpty():
+        joined = joined.dropDuplicates(["__doc", "__source", "__draw"])
+    turns = joined.withColumn("__turn", F.explode(F.sequence(F.lit(0), F.col("__times").cast("int") - 1)))
+    at = F.col("__finish") + F.col("__turn") * F.col("__round")
+    return (turns.withColumn("__at", at).repartitionByRange("__at", "__key").sortWithinPartitions("__at", "__key").select(*docs.columns))
