@@ -82,7 +82,7 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-                max_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+                max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Cut Arrow batches into slices of about ``max_bytes`` of text.
 
     Memory per step is bounded by the slice (or by one text, if that alone is

@@ -22,7 +22,7 @@ from shoplens.llm.common import split_words
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct words that a task keeps before it starts its cache anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 def default_tokenizer() -> str:
@@ -118,7 +118,7 @@ class WordEncoder:
         return out, ends[offsets] + np.arange(n + 1)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def encoder_for(path: str) -> WordEncoder:
     """This worker's encoder; its cache lasts over the worker's tasks."""
     return WordEncoder(path)
