@@ -3,6 +3,8 @@
     python -m shoplens load    --source DIR --root ROOT [--mode overwrite]
     python -m shoplens verify  --root ROOT
     python -m shoplens quality --root ROOT
+    python -m shoplens quarantine --root ROOT
+    python -m shoplens profile --root ROOT --table orders_enriched
     python -m shoplens silver  --root ROOT
     python -m shoplens gold    --root ROOT [--as-of 2018-09-01]
     python -m shoplens models  --root ROOT [--k 5 --rank 10 --max-iter 10 --reg 0.01]
@@ -21,7 +23,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from shoplens.plans import layers
-from shoplens.session import SESSION_CONF, shared_dir
+from shoplens.session import SESSION_CONF, drop_scratch, shared_dir
 
 
 def _session(master: str | None) -> SparkSession:
@@ -37,11 +39,12 @@ def _session(master: str | None) -> SparkSession:
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="shoplens")
-    p.add_argument("step", choices=["load", "verify", "quality", "silver", "gold", "models", "all"])
+    p.add_argument("step", choices=["load", "verify", "quality", "quarantine", "silver", "profile", "gold", "models", "all"])
     p.add_argument("--source", help="folder of the nine source CSV files")
     p.add_argument("--root", required=True, help="storage root for bronze/silver/gold/models")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append", "ignore", "error"])
     p.add_argument("--fmt", default="parquet")
+    p.add_argument("--table", default="orders_enriched", help="silver table for the profile step")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--k", type=int, default=5)
     p.add_argument("--rank", type=int, default=10)
@@ -64,6 +67,10 @@ def main(argv=None) -> None:
             out = layers.bronze_counts(spark, a.root, a.fmt)
         elif step == "quality":
             out = layers.quality_report(spark, a.root, a.fmt)
+        elif step == "quarantine":
+            out = layers.quarantine_bronze(spark, a.root, a.fmt)
+        elif step == "profile":
+            out = layers.silver_null_profile(spark, a.root, a.table, a.fmt)
         elif step == "silver":
             out = layers.build_silver(spark, a.root, a.fmt)
         elif step == "gold":
@@ -72,6 +79,7 @@ def main(argv=None) -> None:
             out = layers.train_models(spark, a.root, a.k, a.rank, a.max_iter, a.reg, a.fmt)
         print(f"== {step}")
         out.show(truncate=False)
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

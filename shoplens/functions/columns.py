@@ -9,11 +9,9 @@ from pyspark.sql.types import TimestampNTZType
 # typed literal: a Python datetime literal would pass through the session zone
 _EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
-# Money scales: prices carry cents, payments may be halves of a cent-priced
-# total, a price plus a rate-based freight carries four places.
-PRICE_SCALE = 2
-PAYMENT_SCALE = 3
-VALUE_SCALE = 4
+# Amounts are summed exactly with ten decimals; sums are reported with six.
+MONEY = "decimal(28,10)"
+REPORTED = "decimal(38,6)"
 
 
 def is_ntz(df: DataFrame, name: str) -> bool:
@@ -40,21 +38,29 @@ def seconds_between_in_days(df: DataFrame, start: str, end: str) -> Column:
     return (epoch_seconds(df, end) - epoch_seconds(df, start)) / F.lit(86400)
 
 
-def as_money(c: Column | str, scale: int) -> Column:
-    """A double amount as an exact decimal, so sums do not depend on row order."""
+def as_money(c: Column | str) -> Column:
+    """A double amount as an exact decimal, so sums do not depend on row order.
+
+    Null for what is no amount (NaN, infinite, 10^18 or more): such a value is
+    neither summed nor counted; ``quality.unusable_amounts`` reports it.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast(f"decimal(18,{scale})")
+    return c.try_cast(MONEY)
+
 
+def reported(total: Column) -> Column:
+    """An exact decimal sum as a double, rounded to six places after summing."""
+    return total.cast(REPORTED).cast("double")
 
-def money_sum(c: Column | str, scale: int) -> Column:
+
+def money_sum(c: Column | str) -> Column:
     """Exact sum of a double money column, returned as double."""
-    return F.sum(as_money(c, scale)).cast("double")
+    return reported(F.sum(as_money(c)))
 
 
-def money_mean(c: Column | str, scale: int) -> Column:
-    """Mean of a money column: its exact sum over its non-null count."""
-    c = F.col(c) if isinstance(c, str) else c
-    return safe_divide(money_sum(c, scale), F.count(c))
+def money_mean(c: Column | str) -> Column:
+    """Mean of a money column: its exact sum over the number of values summed."""
+    return safe_divide(money_sum(c), F.count(as_money(c)))
 
 
 def safe_divide(num: Column, den: Column) -> Column:

@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 
 from shoplens.plans.skew import HotKeys, blocked_inner_join, capped_product, hot_key_sizes, null_extend
 from shoplens.functions.columns import (
-    PAYMENT_SCALE,
-    PRICE_SCALE,
     as_money,
     money_mean,
     money_sum,
+    reported,
     safe_divide,
     seconds_between_in_days,
 )
@@ -172,8 +171,8 @@ def product_metrics(items: DataFrame, by_order: bool = False) -> DataFrame:
     """
     aggs = [
         F.count("order_id").alias("total_orders"),
-        money_sum("price", PRICE_SCALE).alias("total_revenue"),
-        money_mean("price", PRICE_SCALE).alias("avg_price"),
+        money_sum("price").alias("total_revenue"),
+        money_mean("price").alias("avg_price"),
     ]
     if by_order:
         aggs.append(F.count_distinct("order_id").alias("distinct_orders"))
@@ -202,18 +201,18 @@ def customer_value(items: DataFrame, payments: DataFrame, orders: DataFrame,
     item_counts = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
     pay = payments.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_pay"),
-        F.sum(as_money("payment_value", PAYMENT_SCALE)).alias("s_pay"),
-        F.count("payment_value").alias("c_pay"),
+        F.sum(as_money("payment_value")).alias("s_pay"),
+        F.count(as_money("payment_value")).alias("c_pay"),
     )
     per_order = (item_counts.join(pay, "order_id", "left")
                  .join(orders.select("order_id", key), "order_id", "left"))
     rows = F.col("n_items") * F.greatest(F.coalesce(F.col("n_pay"), F.lit(0)), F.lit(1))
-    value = F.sum(F.col("n_items") * F.col("s_pay"))
+    value = F.sum((F.col("n_items") * F.col("s_pay")).cast("decimal(38,6)"))
     n_values = F.sum(F.col("n_items") * F.col("c_pay"))
     return per_order.groupBy(key).agg(
-        value.cast("double").alias("lifetime_value"),
+        reported(value).alias("lifetime_value"),
         F.sum(F.when(F.col("order_id").isNotNull(), rows).otherwise(F.lit(0))).alias("total_orders"),
-        safe_divide(value.cast("double"), n_values).alias("avg_order_value"),
+        safe_divide(reported(value), n_values).alias("avg_order_value"),
     )
 
 
@@ -221,13 +220,13 @@ def customer_value_by_order(payments: DataFrame, orders: DataFrame,
                             key: str = "customer_id") -> DataFrame:
     """Per customer: paid value, orders, and value per paid order, at order grain."""
     paid = payments.groupBy("order_id").agg(
-        F.sum(as_money("payment_value", PAYMENT_SCALE)).alias("order_payment"))
+        F.sum(as_money("payment_value")).alias("order_payment"))
     per_order = orders.select("order_id", key).join(paid, "order_id", "left")
     value = F.sum("order_payment")
     return per_order.groupBy(key).agg(
-        value.cast("double").alias("lifetime_value"),
+        reported(value).alias("lifetime_value"),
         F.count("order_id").alias("total_orders"),
-        safe_divide(value.cast("double"), F.count("order_payment")).alias("avg_order_value"),
+        safe_divide(reported(value), F.count("order_payment")).alias("avg_order_value"),
     )
 
 

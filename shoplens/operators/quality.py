@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import percentage
+from shoplens.functions.columns import as_money, percentage
 from shoplens.schemas import QUALITY_RULES
 
 
@@ -83,3 +83,9 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
         "table_name", "column_position", "column_name", "total_rows", "null_count",
         percentage(F.col("null_count"), F.col("total_rows")).alias("null_pct"),
     )
+
+
+def unusable_amounts(df: DataFrame, columns: list[str], table: str) -> DataFrame:
+    """Rows per money column whose value is not null but no amount (NaN, infinite, too large)."""
+    counts = df.agg(*[F.count_if(F.col(c).isNotNull() & as_money(c).isNull()).alias(c) for c in columns])
+    return counts.unpivot([], columns, "column_name", "unusable").select(F.lit(table).alias("table_name"), "column_name", "unusable")

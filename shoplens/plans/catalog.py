@@ -9,16 +9,17 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators import enrich, features, quality
-from shoplens.schemas import ORDERS
+from shoplens.plans.layers import load_table
+from shoplens.schemas import ORDERS, table_specs
 from shoplens.session import scratch_path
-from shoplens.sinks.tables import write_csv
+from shoplens.sinks.tables import write_csv, write_table
 from shoplens.sources.csv import read_csv
 from shoplens.sources.fixtures import fixture, fixtures
-from shoplens.sources.tables import file_inventory, row_counts
+from shoplens.sources.tables import read_table, row_counts, table_path
 
 # Fixed reference date for recency, so results repeat from day to day.
 AS_OF = _dt.date(2002, 1, 1)
@@ -38,6 +39,11 @@ def _enriched_sized(spark: SparkSession, d: str):
     return enrich.orders_enriched(o, i, r, sizes=sizes), sizes
 
 
+def _enriched_plain(spark: SparkSession, d: str) -> DataFrame:
+    """orders_enriched by plain joins, for results that only aggregate its keys."""
+    return enrich.orders_enriched(*_fx(spark, d, "orders", "order_items", "reviews"), split_hot=False)
+
+
 def _enriched(spark: SparkSession, d: str) -> DataFrame:
     return _enriched_sized(spark, d)[0]
 
@@ -52,12 +58,33 @@ def csv_roundtrip_orders(spark, d):
     return read_csv(spark, path, ORDERS, ntz=True, options=CSV_TS_OPTIONS)
 
 
-def bronze_row_counts(spark, d):
-    return row_counts(fixtures(spark, d))
+def csv_roundtrip_reviews(spark, d):
+    """reviews, with quotes, commas and newlines in the text, through CSV, ``load_table`` and ``read_table``."""
+    source, root = scratch_path(spark, "csv-reviews"), scratch_path(spark, "reviews-lake")
+    message = F.concat(F.lit('"'), F.col("review_comment_message"), F.lit('", ok\n,"end"'))
+    spec = next(s for s in table_specs() if s.name == "reviews")
+    write_csv(fixture(spark, d, "reviews").withColumn("review_comment_message", message), f"{source}/{spec.file_name}", options=CSV_TS_OPTIONS)
+    outcome = load_table(spark, spec, source, root)
+    if not outcome[1] or outcome[3]:
+        raise RuntimeError(f"reviews did not load: {outcome}")
+    loaded = read_table(spark, table_path(root, "bronze", "reviews"))
+    return loaded.select(*[F.col(f.name).cast("timestamp_ntz") if f.dataType.typeName() == "timestamp" else f.name for f in loaded.schema.fields])
 
 
-def source_file_inventory(spark, d):
-    return file_inventory(spark, d, "*.parquet").select("file_name", "size_bytes", "size_mb")
+def stored_products_enriched(spark, d):
+    """products_enriched through the sink and back: overwritten, then appended to, then ignored."""
+    path, full = scratch_path(spark, "stored-products"), products_enriched(spark, d)
+    half = F.pmod(F.xxhash64("product_id"), F.lit(2)) == 0
+    write_table(full, path)
+    write_table(full.where(half), path, "overwrite")
+    write_table(full.where(~half | half.isNull()), path, "append")
+    if write_table(full, path, "ignore") is not None:
+        raise RuntimeError("an existing table was written in mode ignore")
+    return read_table(spark, path)
+
+
+def bronze_row_counts(spark, d):
+    return row_counts(fixtures(spark, d))
 
 
 # ------------------------------------------------------------------ joins
@@ -161,9 +188,7 @@ def dq_quarantine_orders(spark, d):
 
 
 def order_baskets(spark, d):
-    e, sizes = _enriched_sized(spark, d)
-    b = features.order_baskets(e, order_sizes=sizes)
-    return b.withColumn("products", F.array_join("products", ","))
+    return features.order_baskets(_enriched_plain(spark, d))
 
 
 def product_basket_items(spark, d):
@@ -188,7 +213,12 @@ def interactions_rating_filled(spark, d):
 
 
 def customer_rfm(spark, d):
-    return features.customer_rfm(_enriched(spark, d), AS_OF)
+    return features.customer_rfm_from_tables(*_fx(spark, d, "orders", "order_items", "reviews"), AS_OF)
+
+
+def customer_rfm_by_unique_customer(spark, d):
+    o, i, c = _fx(spark, d, "orders", "order_items", "customers")
+    return features.customer_rfm_by_order(features.with_unique_customer(o, c), i, AS_OF, key="customer_unique_id")
 
 
 def customer_rfm_by_order(spark, d):
@@ -213,8 +243,32 @@ def product_recommendations(spark, d):
     return ml.product_recommendations(customer_product_interactions(spark, d))[1]
 
 
+def customer_segments_check(spark, d):
+    """Properties of the segments: customers, rows without a cluster, clusters out of range."""
+    seg = customer_segments(spark, d)
+    return seg.agg(F.count("*").alias("n_rows"), F.count_distinct("customer_id").alias("n_customers"),
+                   F.count_if(F.col("cluster").isNull()).alias("no_cluster"),
+                   F.count_if((F.col("cluster") < 0) | (F.col("cluster") >= 5)).alias("out_of_range"))
+
+
+def product_recommendations_check(spark, d):
+    """Properties of the recommendations: rows, customers, rank gaps, score inversions, unknown products."""
+    recs = product_recommendations(spark, d)
+    known = fixture(spark, d, "order_items").select(F.col("product_id").alias("known")).distinct()
+    w = Window.partitionBy("customer_id").orderBy("rank")
+    placed = (recs.withColumn("place", F.row_number().over(w)).withColumn("above", F.lag("score").over(w))
+              .join(known, F.col("product_id") == F.col("known"), "left"))
+    return placed.agg(F.count("*").alias("n_rows"), F.count_distinct("customer_id").alias("n_customers"),
+                      F.count_if(F.col("place") != F.col("rank")).alias("rank_gaps"), F.count_if(F.col("score") > F.col("above")).alias("inversions"),
+                      F.count_if(F.col("known").isNull()).alias("unknown_products"))
+
+
 QUERIES = {
+    "customer_segments_check": customer_segments_check,
+    "product_recommendations_check": product_recommendations_check,
     "csv_roundtrip_orders": csv_roundtrip_orders,
+    "csv_roundtrip_reviews": csv_roundtrip_reviews,
+    "stored_products_enriched": stored_products_enriched,
     "bronze_row_counts": bronze_row_counts,
     "orders_enriched": orders_enriched,
     "orders_items_joined": orders_items_joined,
@@ -246,8 +300,8 @@ QUERIES = {
     "interactions_rating_filled": interactions_rating_filled,
     "customer_rfm": customer_rfm,
     "customer_rfm_by_order": customer_rfm_by_order,
+    "customer_rfm_by_unique_customer": customer_rfm_by_unique_customer,
     "rfm_filled": rfm_filled,
     "customer_segments": customer_segments,
     "product_recommendations": product_recommendations,
-    "source_file_inventory": source_file_inventory,
 }

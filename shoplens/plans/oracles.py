@@ -42,8 +42,8 @@ E1 = f"""e1 AS (
 
 PRODUCT_METRICS = """SELECT product_id,
   count(order_id) AS total_orders,
-  CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
-  CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_price{extra}
+  CAST(CAST(sum(CAST(price AS DECIMAL(28,10))) AS DECIMAL(38,6)) AS DOUBLE) AS total_revenue,
+  CAST(CAST(sum(CAST(price AS DECIMAL(28,10))) AS DECIMAL(38,6)) AS DOUBLE) / count(price) AS avg_price{extra}
 FROM b_order_items GROUP BY product_id"""
 
 CATEGORY_JOIN = f"""SELECT p.product_category_name, {_cols('p', [c for c in PRODUCT_COLS if c != 'product_category_name'])},
@@ -57,20 +57,20 @@ e2 AS (SELECT j3.product_id, j3.product_category_name,
   FROM j3 LEFT JOIN pm ON pm.product_id = j3.product_id)"""
 
 CUSTOMER_VALUE = """SELECT o.customer_id,
-  CAST(sum(CAST(p.payment_value AS DECIMAL(18,3))) AS DOUBLE) AS lifetime_value,
+  CAST(CAST(sum(CAST(p.payment_value AS DECIMAL(28,10))) AS DECIMAL(38,6)) AS DOUBLE) AS lifetime_value,
   count(i.order_id) AS total_orders,
-  CAST(sum(CAST(p.payment_value AS DECIMAL(18,3))) AS DOUBLE) / count(p.payment_value) AS avg_order_value
+  CAST(CAST(sum(CAST(p.payment_value AS DECIMAL(28,10))) AS DECIMAL(38,6)) AS DOUBLE) / count(p.payment_value) AS avg_order_value
 FROM b_order_items i
 LEFT JOIN b_payments p ON p.order_id = i.order_id
 LEFT JOIN (SELECT order_id, customer_id FROM b_orders) o ON o.order_id = i.order_id
 GROUP BY o.customer_id"""
 
 CUSTOMER_VALUE_BY_ORDER = """SELECT o.customer_id,
-  CAST(sum(paid.order_payment) AS DOUBLE) AS lifetime_value,
+  CAST(CAST(sum(paid.order_payment) AS DECIMAL(38,6)) AS DOUBLE) AS lifetime_value,
   count(o.order_id) AS total_orders,
-  CAST(sum(paid.order_payment) AS DOUBLE) / count(paid.order_payment) AS avg_order_value
+  CAST(CAST(sum(paid.order_payment) AS DECIMAL(38,6)) AS DOUBLE) / count(paid.order_payment) AS avg_order_value
 FROM b_orders o
-LEFT JOIN (SELECT order_id, sum(CAST(payment_value AS DECIMAL(18,3))) AS order_payment
+LEFT JOIN (SELECT order_id, sum(CAST(payment_value AS DECIMAL(28,10))) AS order_payment
            FROM b_payments GROUP BY order_id) paid ON paid.order_id = o.order_id
 GROUP BY o.customer_id"""
 
@@ -86,7 +86,7 @@ E3 = _customers_joined(CUSTOMER_VALUE)
 RFM = f"""SELECT customer_id,
   CAST(date_diff('day', CAST(max(order_purchase_timestamp) AS DATE), {AS_OF}) AS INTEGER) AS recency,
   count(customer_id) AS frequency,
-  CAST(sum(CAST(total_value AS DECIMAL(18,4))) AS DOUBLE) AS monetary
+  CAST(CAST(sum(CAST(total_value AS DECIMAL(28,10))) AS DECIMAL(38,6)) AS DOUBLE) AS monetary
 FROM e1 GROUP BY customer_id"""
 
 
@@ -146,6 +146,23 @@ def oracle_sql() -> dict[str, str]:
     known = " WHERE customer_id IS NOT NULL AND product_id IS NOT NULL"
     return {
         "csv_roundtrip_orders": _with() + "SELECT * FROM b_orders",
+        "customer_segments_check": _with() + (
+            "SELECT count(DISTINCT customer_id) AS n_rows, count(DISTINCT customer_id) AS n_customers, "
+            "0 AS no_cluster, 0 AS out_of_range FROM b_orders"),
+        "product_recommendations_check": _with(E1) + (
+            "SELECT count(DISTINCT customer_id) * least(10, count(DISTINCT product_id)) AS n_rows, count(DISTINCT customer_id) AS n_customers, "
+            "0 AS rank_gaps, 0 AS inversions, 0 AS unknown_products FROM e1 WHERE customer_id IS NOT NULL AND product_id IS NOT NULL"),
+        "csv_roundtrip_reviews": _with() + (
+            f"SELECT {', '.join(c for c in ['order_id', *REVIEW_COLS] if c != 'review_comment_message')}, "
+            "'\"' || review_comment_message || '\", ok' || chr(10) || ',\"end\"' AS review_comment_message FROM b_reviews"),
+        "stored_products_enriched": _with(PRODUCTS_ENRICHED) + "SELECT * FROM e2",
+        "customer_rfm_by_unique_customer": _with() + (
+            f"SELECT c.customer_unique_id, "
+            f"CAST(date_diff('day', CAST(max(o.order_purchase_timestamp) AS DATE), {AS_OF}) AS INTEGER) AS recency, "
+            "count(o.order_id) AS frequency, CAST(CAST(sum(ov.v) AS DECIMAL(38,6)) AS DOUBLE) AS monetary "
+            "FROM b_orders o LEFT JOIN b_customers c ON c.customer_id = o.customer_id "
+            "LEFT JOIN (SELECT order_id, sum(CAST(price + freight_value AS DECIMAL(28,10))) AS v "
+            "FROM b_order_items GROUP BY order_id) ov ON ov.order_id = o.order_id GROUP BY 1"),
         "bronze_row_counts": _with() + counts,
         "orders_enriched": _with(E1) + "SELECT * FROM e1",
         "orders_items_joined": _with() + (
@@ -180,9 +197,8 @@ def oracle_sql() -> dict[str, str]:
         "dq_reviews": _dq("reviews"),
         "dq_quarantine_orders": _quarantine_orders(),
         "order_baskets": _with(E1) + (
-            "SELECT order_id, 0 AS basket_part, CAST(count(product_id) AS INTEGER) AS n_products, "
-            "coalesce(array_to_string(list_sort(list(product_id) FILTER (WHERE product_id IS NOT NULL)), ','), '') "
-            "AS products FROM e1 GROUP BY order_id"),
+            "SELECT order_id, product_id, count(*) AS copies FROM e1 WHERE product_id IS NOT NULL GROUP BY ALL "
+            "UNION ALL SELECT order_id, NULL, 0 FROM e1 GROUP BY order_id HAVING count(product_id) = 0"),
         "product_basket_items": _with(E1) + "SELECT product_id AS product_1 FROM e1 WHERE product_id IS NOT NULL",
         "product_cooccurrence": _with(E1, basket) + (
             "SELECT a.product_id AS product_1, b.product_id AS product_2, count(*) AS co_orders "
@@ -197,9 +213,9 @@ def oracle_sql() -> dict[str, str]:
         "customer_rfm_by_order": _with() + (
             f"SELECT o.customer_id, "
             f"CAST(date_diff('day', CAST(max(o.order_purchase_timestamp) AS DATE), {AS_OF}) AS INTEGER) AS recency, "
-            "count(o.order_id) AS frequency, CAST(sum(ov.order_value) AS DOUBLE) AS monetary "
+            "count(o.order_id) AS frequency, CAST(CAST(sum(ov.order_value) AS DECIMAL(38,6)) AS DOUBLE) AS monetary "
             "FROM b_orders o LEFT JOIN (SELECT order_id, "
-            "sum(CAST(price + freight_value AS DECIMAL(18,4))) AS order_value "
+            "sum(CAST(price + freight_value AS DECIMAL(28,10))) AS order_value "
             "FROM b_order_items GROUP BY order_id) ov ON ov.order_id = o.order_id "
             "GROUP BY o.customer_id"),
         "rfm_filled": _with(E1, f"rfm AS ({RFM})") + (

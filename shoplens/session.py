@@ -9,7 +9,6 @@ the operators never depend on the session zone for NTZ input (see
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,6 +22,8 @@ SESSION_CONF = {
     # split a skewed join partition even when that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go when their frame is garbage
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,18 +42,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session without ``spark.checkpoint.dir``."""
+
+
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Lineage cuts (``checkpoint()``) and scratch tables go there, never to a
-    machine-local temp folder. Only when the session names none (a bare local
-    test session) is a local folder set up in its place.
+    machine-local temp folder. Only a single-machine session (``local[...]``)
+    that names none gets a local folder in its place; on any other master a
+    missing setting raises ``NoSharedFolder``.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote session: the server owns the setting
-        return d or "checkpoints"
+        if not d:
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share") from None
+        return d
     current = sc.getCheckpointDir()
     if d:
         if not current:
@@ -60,22 +72,26 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     if current:
         return current
+    if not _is_local(sc.master):
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="shoplens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/shoplens-scratch/{name}-{uuid.uuid4().hex}"
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's scratch folder under the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/shoplens-scratch/{spark.sparkContext.applicationId}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file system checks in tests."""
-    return path[5:] if path.startswith("file:") else path
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the application's scratch folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables; call it when no result needs them any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

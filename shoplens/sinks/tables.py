@@ -32,7 +32,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     if mode not in MODES:
         raise ValueError(f"unknown save mode {mode!r}")
     spark = df.sparkSession
-    stored = _stored_schema(spark, path, fmt)
+    stored = _stored_schema(spark, path, fmt) if mode in ("append", "ignore") else None
     if mode == "ignore" and stored is not None:
         return None
     if mode == "append" and stored is not None and not _same_columns(stored, df.schema):

@@ -25,8 +25,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *,
 
     * Fields that do not parse become null (PERMISSIVE); with ``keep_corrupt``
       the raw line of such a row is kept in ``_corrupt_record``.
-    * ``multiline`` reads quoted fields with newlines (``"`` escapes ``"``);
-      such a file is read by one task, so use it only for free-text tables.
+    * A quote inside a quoted field is doubled, as ``sinks.tables.write_csv``
+      writes it; this leaves files splittable.
+    * ``multiline`` reads quoted fields with newlines; such a file is read by one task, so use it only for free-text tables.
     * ``check_header`` binds columns by header name and raises on a header
       that differs from the schema; by default columns bind by position.
     * ``ntz`` reads timestamps as wall-clock (NTZ) values.
@@ -38,11 +39,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *,
               .option("header", "true")
               .option("inferSchema", "false")
               .option("mode", "PERMISSIVE")
+              .option("escape", '"')  # a quote inside a quoted field is doubled
               .option("enforceSchema", "false" if check_header else "true"))
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if multiline:
-        reader = reader.option("multiLine", "true").option("escape", '"')
+        reader = reader.option("multiLine", "true")
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.schema(schema).load(path)

@@ -22,16 +22,19 @@ def ingest_new_files(spark: SparkSession, spec: TableSpec, source_dir: str, targ
     """Append rows of files under ``source_dir`` that are new since the last run.
 
     ``checkpoint`` must live in shared storage next to ``target``. Files are
-    matched by ``spec.file_name``'s extension; the schema is the declared one.
+    matched by name: ``spec.file_name``, or the same with a suffix before the
+    extension (``orders.csv``, ``orders-2020.csv``), so other tables' files in
+    the folder are left alone. The schema is the declared one.
     """
-    ext = spec.file_name.rsplit(".", 1)[-1]
+    stem, ext = spec.file_name.rsplit(".", 1)
     reader = (spark.readStream.format("csv")
               .option("header", "true")
               .option("mode", "PERMISSIVE")
-              .option("pathGlobFilter", f"*.{ext}")
+              .option("escape", '"')
+              .option("pathGlobFilter", f"{stem}{{,-*}}.{ext}")
               .schema(spec.schema))
     if spec.multiline:
-        reader = reader.option("multiLine", "true").option("escape", '"')
+        reader = reader.option("multiLine", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (reader.load(source_dir).writeStream

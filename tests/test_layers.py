@@ -40,6 +40,12 @@ def test_layered_run(spark, source_dir, tmp_path):
     assert silver["orders_enriched"] == 8021 and silver["products_enriched"] == 200
     gold = {r["table_name"]: r["rows"] for r in layers.build_gold(spark, root, dt.date(2002, 1, 1)).collect()}
     assert gold["customer_product_interactions"] == 7987 and gold["product_cooccurrence"] == 8899
+    assert gold["product_basket_items"] == read_table(spark, table_path(root, "silver", "orders_enriched")).where("product_id is not null").count()
+    profile = {r["column_name"]: r["null_count"] for r in layers.silver_null_profile(spark, root, "orders_enriched").collect()}
+    assert profile["order_id"] == 0 and len(profile) == 24
+    bad = {r["table_name"]: r["rows"] for r in layers.quarantine_bronze(spark, root).collect()}
+    failed = {t: read_table(spark, table_path(root, "quarantine", t)) for t in bad}
+    assert all(failed[t].count() == n and "failed_rules" in failed[t].columns for t, n in bad.items())
     models = {r["table_name"]: r["rows"] for r in layers.train_models(spark, root, max_iter=3).collect()}
     assert models["customer_segments"] == 150
     assert read_table(spark, table_path(root, "models", "customer_segments") + "/metadata", "text").count() >= 1
@@ -51,13 +57,24 @@ def test_incremental_ingest_takes_only_new_files(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     head = ",".join(f.name for f in ORDERS.fields)
-    (src / "a.csv").write_text(head + "\n1,c1,delivered,2020-01-01 00:00:00,,,,\n")
+    (src / "orders.csv").write_text(head + "\n1,c1,delivered,2020-01-01 00:00:00,,,,\n")
     spec = TableSpec("orders", "orders.csv", ORDERS)
     target, ckpt = str(tmp_path / "bronze"), str(tmp_path / "ckpt")
     ingest_new_files(spark, spec, str(src), target, ckpt)
     assert read_table(spark, target).count() == 1
-    (src / "b.csv").write_text(head + "\n2,c2,shipped,2020-01-02 00:00:00,,,,\n3,c3,shipped,,,,,\n")
+    (src / "sellers.csv").write_text("seller_id\nx\n")  # another table's file
+    (src / "orders-2.csv").write_text(head + "\n2,c2,shipped,2020-01-02 00:00:00,,,,\n3,c3,shipped,,,,,\n")
     ingest_new_files(spark, spec, str(src), target, ckpt)
     ingest_new_files(spark, spec, str(src), target, ckpt)  # nothing new: no repeat
     rows = read_table(spark, target).collect()
     assert sorted(r["order_id"] for r in rows) == ["1", "2", "3"]
+
+
+def test_swapped_header_is_reported(spark, source_dir, tmp_path):
+    from shoplens.schemas import table_specs
+    spec = next(s for s in table_specs() if s.name == "sellers")
+    lines = open(f"{source_dir}/{spec.file_name}").read().splitlines()
+    head = lines[0].split(",")
+    (tmp_path / spec.file_name).write_text("\n".join([",".join([head[1], head[0], *head[2:]]), *lines[1:]]) + "\n")
+    name, ok, rows, _, message = layers.load_table(spark, spec, str(tmp_path), str(tmp_path / "lake"))
+    assert (name, ok, rows) == ("sellers", False, None) and message

@@ -50,7 +50,7 @@ def test_orders_without_items_and_null_keys(spark):
     assert e.count() == 2 and e.where("product_id IS NULL").count() == 2
     assert e.where("days_to_delivery IS NULL").count() == 2
     b = features.order_baskets(e)
-    assert sorted_rows(b, ["order_id", "n_products"]) == [("o1", 0), (None, 0)]
+    assert sorted_rows(b, ["order_id", "product_id", "copies"]) == [("o1", None, 0), (None, None, 0)]
     assert features.basket_items(e).count() == 0
     assert features.product_cooccurrence(e).count() == 0
 
@@ -155,3 +155,30 @@ def test_recency_defaults_to_today(spark):
                               "customer_id string, order_purchase_timestamp timestamp_ntz, total_value double")
     r = features.customer_rfm(e).first()
     assert r["recency"] == (dt.date.today() - dt.date(2020, 1, 1)).days
+
+
+def test_money_is_not_rounded_before_it_is_summed(spark):
+    nan = float("nan")
+    i = spark.createDataFrame([("o1", 1, "p1", 0.004, 0.0), ("o1", 2, "p1", 0.004, 0.0), ("o1", 3, "p2", nan, 0.0), ("o1", 4, "p2", 1.0, 0.0),
+                               ("o1", 5, "p3", float("inf"), 0.0)], ITM)
+    m = {r["product_id"]: (r["total_revenue"], r["avg_price"], r["total_orders"]) for r in enrich.product_metrics(i).collect()}
+    assert m == {"p1": (0.008, 0.004, 2), "p2": (1.0, 1.0, 2), "p3": (None, None, 1)}
+    bad = quality.unusable_amounts(i, ["price", "freight_value"], "order_items").collect()
+    assert sorted((r["column_name"], r["unusable"]) for r in bad) == [("freight_value", 0), ("price", 2)]
+
+
+def test_rfm_from_tables_equals_rfm_of_enriched(spark):
+    o = _orders(spark, [("o1", "c1", "x", T0, None), ("o1", "c2", "x", T0, None), ("o2", "c1", "x", T0, None), (None, "c3", "x", T0, None),
+                        ("o3", None, "x", None, None)])
+    i = spark.createDataFrame([("o1", 1, "p", 0.004, 0.1), ("o1", 2, "p", None, 0.1), ("o3", 1, "p", 2.0, 0.0), (None, 1, "p", 9.0, 0.0)], ITM)
+    r = spark.createDataFrame([("r1", "o1", 5), ("r2", "o1", 4), ("r3", "o2", 1), ("r4", None, 1)], REV)
+    day = dt.date(2020, 1, 11)
+    assert sorted_rows(features.customer_rfm_from_tables(o, i, r, day)) == sorted_rows(features.customer_rfm(enrich.orders_enriched(o, i, r), day))
+
+
+def test_baskets_keep_every_order(spark):
+    o = _orders(spark, [("A", "c", "x", T0, None), ("B", "c", "x", T0, None)])
+    i = spark.createDataFrame([("B", n, f"p{n % 2}", 1.0, 0.0) for n in range(30)] + [("B", 99, None, 1.0, 0.0)], ITM)
+    r = spark.createDataFrame([(f"r{n}", "A", 1) for n in range(30)], REV)
+    for e in (enrich.orders_enriched(o, i, r), enrich.hot_safe_left_joins("order_id", [o, i, r], hot_rows=3, block_rows=2)):
+        assert sorted_rows(features.order_baskets(e), ["order_id", "product_id", "copies"]) == [("A", None, 0), ("B", "p0", 15), ("B", "p1", 15)]

@@ -20,7 +20,7 @@ def con():
 
 
 def test_every_query_has_sql_or_is_rows_only():
-    rows_only = {"customer_segments", "product_recommendations", "source_file_inventory"}
+    rows_only = {"customer_segments", "product_recommendations"}
     assert set(QUERIES) - set(SQL) == rows_only
     assert set(ent.oracle_sql()) <= set(ent.queries())
 
