@@ -72,7 +72,12 @@ def _usable(column: str = "embedding"):
 BANDED = ("cls long, n long, label int, dim int, band int, key long, keys binary, vector binary")
 
 
-def _bands(bits: int, n_bands: int):
+def _key_type(bits: int):
+    return np.int32 if bits < 32 else np.int64
+
+
+def _bands(bits: int, n_bands: int, kind):
+    """Rows of each class for every band; the vector keeps its own width (``kind``)."""
     def run(batches):
         turns = {}
         for batch in batches:
@@ -91,8 +96,8 @@ def _bands(bits: int, n_bands: int):
                     keys = (sign * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
                     m = len(part) * n_bands
                     row = np.repeat(np.arange(len(part)), n_bands)
-                    raw_keys = pa.array([k.tobytes() for k in keys], pa.binary())
-                    raw_vectors = pa.array([x.tobytes() for x in v], pa.binary())
+                    raw_keys = pa.array([k.tobytes() for k in keys.astype(_key_type(bits))], pa.binary())
+                    raw_vectors = pa.array([x.tobytes() for x in v.astype(kind)], pa.binary())
                     yield pa.RecordBatch.from_arrays([
                         pa.array(cls[part][row]), pa.array(n[part][row]), pa.array(label[part][row].astype(np.int32)), pa.array(np.full(m, dim, np.int32)),
                         pa.array(np.tile(np.arange(n_bands, dtype=np.int32), len(part))), pa.array(keys.ravel()),
@@ -125,7 +130,7 @@ def link_cell(band: int, keys_a, vec_a, keys_b, vec_b, turn, threshold: float, e
     return a[keep], b[keep]
 
 
-def _link(n_bands: int, bits: int, threshold: float, epsilon: float):
+def _link(n_bands: int, bits: int, kind, threshold: float, epsilon: float):
     """Links of cells that arrive sorted; holds one cell."""
     def run(batches):
         turns, out, name, rows = {}, [[], [], []], None, []
@@ -135,8 +140,8 @@ def _link(n_bands: int, bits: int, threshold: float, epsilon: float):
                 return
             dim, band = name[1], name[2]
             side = np.array([r[2] for r in rows])
-            keys = np.stack([np.frombuffer(r[3], np.int64) for r in rows])
-            vec = np.stack([np.frombuffer(r[4], np.float64) for r in rows])
+            keys = np.stack([np.frombuffer(r[3], _key_type(bits)) for r in rows])
+            vec = np.stack([np.frombuffer(r[4], kind) for r in rows]).astype(np.float64)
             cls, n = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
             if dim not in turns:
                 turns[dim] = rotations(dim, -(-bits * n_bands // dim))
@@ -191,17 +196,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
                    "rabitq-classes")
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     bits, n_bands = bands_for(largest, threshold, recall, bucket)
-    banded = save(classes.select("cls", "n", "label", "embedding").mapInArrow(_bands(bits, n_bands), BANDED), "rabitq-bands")
+    kind = np.float32 if classes.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
+    banded = save(classes.select("cls", "n", "label", "embedding").mapInArrow(_bands(bits, n_bands, kind), BANDED), "rabitq-bands")
     at = ["label", "dim", "band", "key"]
-    sizes = banded.groupBy(*at).agg(F.count("*").alias("size")).where("size > 1")
-    split = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    cells = banded.join(sizes, at).withColumn("parts", split).withColumn("side", F.pmod(F.xxhash64("cls", F.lit(7)), "parts").cast("int"))
+    # only buckets larger than a block are listed; stored, so that Spark knows the list's size before it picks the join
+    large = banded.groupBy(*at).agg(F.count("*").alias("size")).where(F.col("size") > block)
+    large = save(large.select(*at, F.ceil(F.col("size") / F.lit(block)).cast("int").alias("parts")), "rabitq-large")
+    cells = (banded.join(large, at, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+             .withColumn("side", F.pmod(F.xxhash64("cls", F.lit(7)), "parts").cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     cells = (cells.withColumn("other", other)
              .select("label", "dim", "band", "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "cls", "n", "side", "keys", "vector"))
     name = ["label", "dim", "band", "key", "low", "high"]
     found = (cells.repartition(*name).sortWithinPartitions(*name)
-             .mapInArrow(_link(n_bands, bits, threshold, epsilon), "cls long, links long, root long"))
+             .mapInArrow(_link(n_bands, bits, kind, threshold, epsilon), "cls long, links long, root long"))
     found = save(found, "rabitq-links")
     degree = found.groupBy("cls").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")), "rabitq-components")
