@@ -210,7 +210,7 @@ def _cut(path: str, capacity: int, end_id: int):
     def run(batches):
         encoder, part = encoder_for(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for rows, texts in text_slices(batches):
+        for rows, texts in text_slices(batches, max_bytes=8 << 20):
             ids, offsets = encoder.encode(texts, end_id)
             sizes = np.diff(offsets)
             pieces = -(-sizes // capacity)

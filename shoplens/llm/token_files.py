@@ -74,7 +74,7 @@ def _write_part(root: str, path: str, width: int, end_id: int, id_type: str):
 
         def fill(stream):
             writer = _PartWriter(stream, width, id_type)
-            for rows, texts in text_slices(batches):
+            for rows, texts in text_slices(batches, max_bytes=8 << 20):
                 ids, offsets = encoder.encode(texts, end_id)
                 if len(ids) and int(ids.max()) > np.iinfo(id_type).max:
                     raise ValueError(f"a token id does not fit in {id_type}")

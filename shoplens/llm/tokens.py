@@ -21,8 +21,8 @@ from shoplens.llm.common import split_words
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Distinct words that a task keeps before it starts its cache anew.
-CACHE_WORDS = 250_000
+#: Distinct words that a worker keeps; when it has them, later ones last for a slice.
+CACHE_WORDS = 300_000
 
 
 def default_tokenizer() -> str:
@@ -46,17 +46,14 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.cache_words = cache_words
-        self._reset()
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _reset(self):
         self.known: dict[str, int] = {}
         self.pool = np.zeros(1, np.uint32)  # one spare id at the end
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, words: list[str]):
         plain = [w for w in words if w.isalpha()]
         other = [w for w in words if not w.isalpha()]
@@ -94,12 +91,11 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): each text's ids followed by ``end_id``, as uint32."""
-        if len(self.known) > self.cache_words:
-            self._reset()
         words, offsets = split_words(texts)
         coded = words.dictionary_encode()
         stems, tail = self._stems(coded.dictionary.to_pylist())
         new = [w for w in dict.fromkeys(stems) if w not in self.known]
+        before = self.pool, self.starts, self.lengths
         if new:
             self._learn(new)
         entry = np.fromiter((self.known[w] for w in stems), np.int64, len(stems))
@@ -112,6 +108,10 @@ class WordEncoder:
         n, total = len(texts), int(ends[-1])
         ids = self.pool[np.repeat(self.starts[entry] - ends[:-1], lengths) + np.arange(total)]
         ids[ends[1:][signed] - 1] = tail[signed]
+        if len(self.known) > self.cache_words:  # full: the frequent words came first
+            self.pool, self.starts, self.lengths = before
+            for w in new:
+                del self.known[w]
         sizes = np.diff(ends[offsets])
         out = np.full(total + n, end_id, np.uint32)
         out[np.arange(total) + np.repeat(np.arange(n), sizes)] = ids
