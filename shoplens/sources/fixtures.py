@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # --- Fixed values: column expressions of the test fixtures (FIXTURES.md).
 ORDERS_COLS = [
@@ -114,12 +115,23 @@ _GEO_JOIN = {
 CTE_PREFIX = "b_"
 
 
+# The test tables are read-only: their schemas are kept, as a catalog would.
+# Files are listed, and frames built, anew for every query and session.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def _parquet(spark: SparkSession, path: str) -> DataFrame:
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = _parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in _GEO_JOIN:
         # nation (25 rows) and region (5 rows): Spark broadcasts them on size
-        nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
-        region = spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
+        nation = _parquet(spark, f"{sf_dir.rstrip('/')}/nation.parquet")
+        region = _parquet(spark, f"{sf_dir.rstrip('/')}/region.parquet")
         df = (df.join(nation, F.col(_GEO_JOIN[name]) == F.col("n_nationkey"))
                 .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
     return df
