@@ -6,15 +6,17 @@ context the Krichevsky-Trofimov estimate of the training counts is mixed with
 the estimates of the longer contexts below it, with the weights of the
 context-tree recursion, so a byte's probability mixes all depths.
 
-Training counts byte strings of ``depth + 1`` over the cluster. Strings with
-the same two most recent context bytes then meet in one partition, which holds
-all longer contexts of those trees; the two shallowest depths are finished from
-at most 256 * 256 partial sums. Decision nodes are folded into hash tables of a
-fixed size (a slot keeps its most frequent node, with a check byte), so the
-model that scoring reads is bounded whatever the corpus holds.
-
-The unigram base score uses word counts: those of the most frequent words (a
-bounded number) travel with the model, the others are joined.
+Byte strings of ``depth + 1`` are counted over the cluster, those of the training
+texts apart from the others. Strings with the same two most recent context bytes
+then meet in one partition, which holds all longer contexts of those trees: it
+grows them and mixes the lengths from two on for every distinct string of the
+texts, with all nodes and none folded. The two shallowest lengths are finished
+from at most 256 * 256 partial sums, which gives a stored table of all distinct
+strings and their log probabilities.
+
+Frequent strings and words (a bounded number of each) travel to the texts; the
+others are joined, so the model grows with the corpus and what is held in
+memory to score does not.
 """
 
 from __future__ import annotations
@@ -28,16 +30,15 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import coded_words, mix64, save, text_buffers, text_slices
 
 DEPTH = 5
-#: log2 of the slots of the hash tables by depth, and of the frequent words kept.
-TABLE_BITS = {2: 18, 3: 20, 4: 21, 5: 22}
-WORD_BITS = 21
+#: log2 of the frequent strings and of the frequent words that are broadcast.
+STRING_BITS, WORD_BITS = 22, 21
 #: No UTF-8 text has this byte: it stands before the first byte and after the last.
 END = 255
 #: Distinct strings a task merges before it hands them on.
 MERGE = 4_000_000
 SLICE = 4 << 20
-#: log2 of the slots of a block of a hash table, and strings grown at a time.
-BLOCK_BITS, CHUNK = 10, 300_000
+#: Strings grown at a time, and classes of frequency per doubling.
+CHUNK, CLASSES = 300_000, 8
 U = np.uint64
 
 
@@ -73,7 +74,7 @@ def merge_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.n
 
 
 def _count(depth: int):
-    """Partial counts of strings (kind 0) and word hashes (kind 1) of the training texts."""
+    """Partial counts of strings (kind 0) and word hashes (kind 1) of the training texts, and of strings of the others (kind 2)."""
     def emit(kind, held):
         keys, counts = merge_counts(*map(list, zip(*held, strict=True)))
         for a in range(0, len(keys), 500_000):
@@ -82,11 +83,14 @@ def _count(depth: int):
                 [pa.array(np.full(b - a, kind, np.int8)), pa.array(keys[a:b].view(np.int64)), pa.array(counts[a:b])], ["kind", "key", "n"])
 
     def run(batches):
-        held: dict[int, list] = {0: [], 1: []}
-        size = {0: 0, 1: 0}
-        for _, texts in text_slices(batches, max_bytes=SLICE):
-            texts = pc.ascii_lower(texts)
-            for kind, keys in ((0, grams(texts, depth)[0]), (1, coded_words(texts)[0])):
+        held: dict[int, list] = {0: [], 1: [], 2: []}
+        size = {0: 0, 1: 0, 2: 0}
+        for rows, texts in text_slices(batches, max_bytes=SLICE):
+            texts, out = pc.ascii_lower(texts), rows.column(1)
+            train, other = texts.filter(pc.invert(out)), texts.filter(out)
+            for kind, keys in ((0, grams(train, depth)[0]), (1, coded_words(train)[0]), (2, grams(other, depth)[0])):
+                if not len(keys):
+                    continue
                 held[kind].append(np.unique(keys, return_counts=True))
                 size[kind] += len(held[kind][-1][0])
                 if size[kind] > MERGE:
@@ -155,46 +159,61 @@ def _parents(key: np.ndarray) -> np.ndarray:
     return ((key >> U(16)) << U(8)) | (key & U(255))
 
 
-def slots(key: np.ndarray, d: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(slot, check byte) of node keys at context length ``d``."""
-    h = mix64(key + U(d * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-    return (h >> U(64 - bits)).astype(np.int64), (h & U(255)).astype(np.uint8)
-
-
-def grow_trees(keys: np.ndarray, counts: np.ndarray, depth: int, bits: dict[int, int]):
+def grow_trees(keys: np.ndarray, counts: np.ndarray, depth: int):
     """Weights of all contexts of length 2 and more, of whole trees below length 2.
 
-    Returns the folded nodes of each length (slot, check, count, log odds,
-    weight) and the sums at length 1 (node key, n0, n1, log product below).
+    Returns all nodes of each length (key, log odds, weight; sorted by key) and
+    the sums at length 1 (node key, n0, n1, log product below).
     """
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    folded, below, child = {}, None, None
+    nodes, below, child = {}, None, None
     for d in range(depth, 1, -1):
         key, n0, n1 = _decisions(keys, counts, depth, d)
         if child is not None:
             below = np.bincount(np.searchsorted(key, _parents(child)), weights=below, minlength=len(key))
         log_pw, weight = _weigh(n0, n1, below)
-        slot, check = slots(key, d, bits[d])
-        # the most frequent node of each slot; ties to the smaller key
-        by = np.lexsort((key, -(n0 + n1), slot))
-        by = by[np.concatenate([[True], slot[by][1:] != slot[by][:-1]])] if len(by) else by
-        folded[d] = (slot[by], check[by], (n0 + n1)[by], (np.log(n1 + 0.5) - np.log(n0 + 0.5))[by], weight[by])
+        nodes[d] = (key, np.log(n1 + 0.5) - np.log(n0 + 0.5), weight)
         child, below = key, log_pw
     parent = _parents(child)
     one, at = np.unique(parent, return_inverse=True)
     sums = [np.bincount(at, weights=x, minlength=len(one)) for x in (n0, n1, below)]
-    return folded, (one, *sums)
+    return nodes, (one, *sums)
+
+
+def _prefix(strings: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+    """(decided bits after a leading one, sign of the bit decided next) of each string's last byte."""
+    b = strings & U(255)
+    return U(1 << j) | (b >> U(8 - j)), np.where((b >> U(7 - j)) & U(1), 1.0, -1.0)
+
+
+def _mix(p: np.ndarray, sign: np.ndarray, odds: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``p`` of the longer contexts (NaN: none seen) mixed with the estimate of this one."""
+    own = 1 / (1 + np.exp(-sign * odds))
+    return np.where(np.isnan(p), own, w * own + (1 - w) * p)
+
+
+def mix_deep(strings: np.ndarray, nodes: dict, depth: int) -> np.ndarray:
+    """Probability of each of the 8 bits, mixed over lengths 2 and more; NaN if no node was seen.
+
+    A node that was never seen adds nothing to the mix. ``strings`` are best sorted.
+    """
+    out = np.full((len(strings), 8), np.nan)
+    for d, (key, odds, weight) in sorted(nodes.items(), reverse=True):
+        context = (strings >> U(8 * (depth - d + 1))) << U(8)
+        for j in range(8) if len(key) else ():
+            prefix, sign = _prefix(strings, j)
+            at = np.minimum(np.searchsorted(key, context | prefix), len(key) - 1)
+            seen = key[at] == context | prefix
+            out[:, j] = np.where(seen, _mix(out[:, j], sign, odds[at], weight[at]), out[:, j])
+    return out
 
 
 class Model:
-    """Dense tables for context lengths 0 and 1, hashed ones for the longer."""
+    """Dense tables for context lengths 0 and 1; all nodes of the longer, where they are held."""
 
-    def __init__(self, depth: int, bits: dict[int, int]):
-        self.depth, self.bits = depth, bits
-        self.odds = {d: np.zeros(1 << bits[d], np.float16) for d in range(2, depth + 1)}
-        self.weight = {d: np.zeros(1 << bits[d], np.float16) for d in range(2, depth + 1)}
-        self.check = {d: np.zeros(1 << bits[d], np.uint8) for d in range(2, depth + 1)}
+    def __init__(self, depth: int, nodes: dict | None = None):
+        self.depth, self.nodes = depth, nodes or {}
         self.dense = [(np.zeros(256), np.ones(256)), (np.zeros(65536), np.ones(65536))]
 
     def finish(self, one: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray):
@@ -208,182 +227,190 @@ class Model:
             self.dense[d][0][key.astype(np.int64)] = np.log(n1 + 0.5) - np.log(n0 + 0.5)
             self.dense[d][1][key.astype(np.int64)] = weight
 
-    def log_probability(self, strings: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each string's last byte after its context.
-
-        A node that was never seen, or lost its slot, adds nothing to the mix.
-        """
-        b = strings & U(255)
+    def close(self, strings: np.ndarray, deep: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each string's last byte, from the mix of lengths 2 and more."""
         total = np.zeros(len(strings))
         for j in range(8):
-            prefix = U(1 << j) | (b >> U(8 - j))
-            sign = np.where((b >> U(7 - j)) & U(1), 1.0, -1.0)
-            p = np.full(len(strings), np.nan)
-            for d in range(self.depth, -1, -1):
-                key = ((strings >> U(8 * (self.depth - d + 1))) << U(8)) | prefix
-                if d < 2:
-                    at = key.astype(np.int64)
-                    odds, w = self.dense[d][0][at], self.dense[d][1][at]
-                else:
-                    at, check = slots(key, d, self.bits[d])
-                    odds = self.odds[d][at].astype(np.float64)
-                    w = np.where(self.check[d][at] == check, self.weight[d][at].astype(np.float64), np.nan)
-                own = 1 / (1 + np.exp(-sign * odds))
-                mixed = np.where(np.isnan(p), own, w * own + (1 - w) * p)
-                p = np.where(np.isnan(w), p, mixed)
+            prefix, sign = _prefix(strings, j)
+            p = deep[:, j]
+            for d in (1, 0):
+                at = (((strings >> U(8 * (self.depth - d + 1))) << U(8)) | prefix).astype(np.int64)
+                p = _mix(p, sign, self.dense[d][0][at], self.dense[d][1][at])
             total += np.log10(p)
         return total
 
+    def log_probability(self, strings: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each string's last byte after its context."""
+        return self.close(strings, mix_deep(strings, self.nodes, self.depth))
+
 
 class Scorer:
-    """Scores strings of a worker's slices; remembers the frequent ones."""
+    """Looks up strings of a worker's slices among the frequent ones; remembers the last."""
 
     CACHE_BITS = 20
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, known: np.ndarray, logs: np.ndarray):
+        self.known, self.logs = known, logs
         self.tags = np.full(1 << self.CACHE_BITS, 2**64 - 1, U)
         self.values = np.zeros(1 << self.CACHE_BITS)
 
     def log_probability(self, strings: np.ndarray) -> np.ndarray:
+        """NaN for strings that are not frequent."""
         at = (mix64(strings) >> U(64 - self.CACHE_BITS)).astype(np.int64)
         miss = np.flatnonzero(self.tags[at] != strings)
         out = self.values[at]
         if len(miss):
             new, back = np.unique(strings[miss], return_inverse=True)
-            value = self.model.log_probability(new)
+            value = np.full(len(new), np.nan)
+            if len(self.known):
+                near = np.minimum(np.searchsorted(self.known, new), len(self.known) - 1)
+                value = np.where(self.known[near] == new, self.logs[near], np.nan)
             out[miss] = value[back]
             place = (mix64(new) >> U(64 - self.CACHE_BITS)).astype(np.int64)
             self.tags[place], self.values[place] = new, value
         return out
 
 
-BLOCK = pa.schema([("d", pa.int32()), ("block", pa.int32()), ("slots", pa.binary()), ("checks", pa.binary()), ("counts", pa.binary()),
-                   ("odds", pa.binary()), ("weights", pa.binary())])
-BLOCK_DDL = "d int, block int, slots binary, checks binary, counts binary, odds binary, weights binary"
-KINDS = (("slots", np.int16), ("checks", np.uint8), ("counts", np.float64), ("odds", np.float16), ("weights", np.float16))
+#: Strings (kind 0: key, occurrences, 8 mixed probabilities) and sums at length 1 (kind 1: key, -, n0, n1, log product below).
+GROWN = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()), ("x", pa.binary())])
+GROWN_DDL = "kind byte, key long, n long, x binary"
 
 
-def _fold(slot, check, count, odds, weight):
-    """The most frequent node of each slot (ties: largest check, then odds)."""
-    by = np.lexsort((-odds, -check.astype(np.int64), -count, slot))
-    by = by[np.concatenate([[True], slot[by][1:] != slot[by][:-1]])] if len(by) else by
-    return slot[by], check[by], count[by], odds[by], weight[by]
+def _grown(kind: int, keys: np.ndarray, n: np.ndarray, x: np.ndarray):
+    """Batches of rows with the numbers of a row of ``x`` as bytes."""
+    for a in range(0, len(keys), 100_000):
+        part = np.ascontiguousarray(x[a:a + 100_000], np.float64)
+        offsets = (np.arange(len(part) + 1) * 8 * x.shape[1]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(part), kind, np.int8)), pa.array(keys[a:a + 100_000].view(np.int64)), pa.array(n[a:a + 100_000].astype(np.int64)),
+            pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(part)])], schema=GROWN)
 
 
-def _grow(depth: int, bits: dict[int, int]):
-    """Grow the trees of a partition, some two-byte contexts at a time; emit blocks and sums (d = 1)."""
+def _numbers(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, width)
+
+
+def _grow(depth: int):
+    """Grow the trees of strings sorted by key, some two-byte contexts at a time, and mix all strings in them."""
+    def close(keys, counts, train):
+        own, n = merge_counts([keys], [counts])
+        nodes = {}
+        if train.any():
+            nodes, sums = grow_trees(keys[train], counts[train], depth)
+            yield from _grown(1, sums[0], np.zeros(len(sums[0])), np.stack(sums[1:], 1))
+        yield from _grown(0, own, n, mix_deep(own, nodes, depth))
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append((b.column(1).to_numpy().view(U), b.column(2).to_numpy(), b.column(0).to_numpy() == 0))
+            size += b.num_rows
+            if size > CHUNK and held[0][0][0] >> U(8 * (depth - 1)) != held[-1][0][-1] >> U(8 * (depth - 1)):
+                rows = [np.concatenate(x) for x in zip(*held, strict=True)]
+                pair = rows[0] >> U(8 * (depth - 1))
+                end = int(np.flatnonzero(pair != pair[-1])[-1]) + 1  # the last context may go on
+                yield from close(*(x[:end] for x in rows))
+                held, size = [tuple(x[end:] for x in rows)], len(pair) - end
+        if held:
+            yield from close(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    return run
+
+
+def _close(model):
+    """Log probabilities of grown strings; ``model`` (the short contexts) is a broadcast variable."""
     def run(batches):
-        parts = [(b.column(0).to_numpy().view(U), b.column(1).to_numpy()) for b in batches if b.num_rows]
-        if not parts:
-            return
-        keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        pair = keys >> U(8 * (depth - 1))
-        starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-        held: dict[int, list] = {d: [] for d in range(2, depth + 1)}
-        at = 0
-        while at < len(keys):
-            k = np.searchsorted(starts, at + CHUNK, side="right") - 1
-            end = int(starts[k]) if starts[k] > at else int(starts[k + 1]) if k + 1 < len(starts) else len(keys)
-            end = len(keys) if at + CHUNK >= len(keys) else end
-            folded, sums = grow_trees(keys[at:end], counts[at:end], depth, bits)
-            for d, x in folded.items():
-                held[d].append(x)
-            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([0], pa.int32()), pa.array([sums[0].tobytes()]), pa.array([b""]),
-                                              *[pa.array([x.astype(np.float64).tobytes()]) for x in sums[1:]]], schema=BLOCK)
-            at = end
-        for d, parts in held.items():
-            arrays = _fold(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-            block = arrays[0] >> BLOCK_BITS
-            cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            for first in range(0, len(cut), 512):
-                own = cut[first:first + 512].tolist()
-                ends = [*cut[first + 1:first + 513].tolist()]
-                ends += [len(block)] * (len(own) - len(ends))
-                cols = []
-                for (_, kind), x in zip(KINDS, (arrays[0] & ((1 << BLOCK_BITS) - 1), *arrays[1:]), strict=True):
-                    x = x.astype(kind)
-                    cols.append(pa.array([x[a:b].tobytes() for a, b in zip(own, ends, strict=True)], pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), d, np.int32)), pa.array(block[own].astype(np.int32)), *cols], schema=BLOCK)
+        for b in batches:
+            if b.num_rows:
+                log = model.value.close(b.column(0).to_numpy().view(U), _numbers(b.column(2), 8))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(log)], ["key", "n", "log"])
     return run
 
 
-def _merge_blocks(batches):
-    """Blocks of several partitions, sorted by (d, block), as one each; holds one block."""
-    def close(name, parts):
-        arrays = _fold(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        return pa.RecordBatch.from_arrays([pa.array([name[0]], pa.int32()), pa.array([name[1]], pa.int32()),
-                                           *[pa.array([x.astype(k).tobytes()]) for x, (_, k) in zip(arrays, KINDS, strict=True)]], schema=BLOCK)
-
-    name, parts = None, []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if (row["d"], row["block"]) != name:
-                if parts:
-                    yield close(name, parts)
-                name, parts = (row["d"], row["block"]), []
-            parts.append(tuple(np.frombuffer(row[c], k) for c, k in KINDS))
-            if len(parts) > 64:
-                parts = [_fold(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
-    if parts:
-        yield close(name, parts)
-
-
-def train_text(docs: DataFrame, depth: int) -> DataFrame:
+def _spread_sums(batches):
+    for b in batches:
+        if b.num_rows:
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(np.ascontiguousarray(x)) for x in _numbers(b.column(1), 3).T]],
+                                             ["key", "n0", "n1", "below"])
+
+
+def count_texts(rows: DataFrame, depth: int) -> DataFrame:
     """Counts (kind, key, n) of the byte strings and words of the texts, stored."""
-    counted = docs.select("text").mapInArrow(_count(depth), "kind byte, key long, n long")
+    counted = rows.select("text", "held_out").mapInArrow(_count(depth), "kind byte, key long, n long")
     return save(counted.repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
 
 
-def build_model(counts: DataFrame, depth: int = DEPTH, bits: dict[int, int] | None = None) -> Model:
-    bits = bits or TABLE_BITS
-    strings = counts.where("kind = 0").select("key", "n").repartition(F.shiftright("key", 8 * (depth - 1)))
-    blocks = save(strings.mapInArrow(_grow(depth, bits), BLOCK_DDL), "ctw-blocks")
-    model = Model(depth, bits)
-    merged = (blocks.where("d > 1").repartition("d", "block").sortWithinPartitions("d", "block").mapInArrow(_merge_blocks, BLOCK_DDL)
-              .select("d", "block", "slots", "checks", "odds", "weights"))
-    for row in merged.toLocalIterator(prefetchPartitions=True):  # at most the size of the hash tables
-        at = (row["block"] << BLOCK_BITS) + np.frombuffer(row["slots"], np.int16).astype(np.int64)
-        for table, name in ((model.odds, "odds"), (model.weight, "weights"), (model.check, "checks")):
-            table[row["d"]][at] = np.frombuffer(row[name], dict(KINDS)[name])
+def string_logs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, n, log) of all distinct strings of the texts: occurrences and log10 probability, stored."""
+    spark = counts.sparkSession
+    strings = counts.where("kind <> 1").repartition(F.shiftright("key", 8 * (depth - 1))).sortWithinPartitions("key")
+    grown = save(strings.mapInArrow(_grow(depth), GROWN_DDL), "ctw-grown")
     # sums by two-byte context: added up per context of one byte before they are collected
-    sums = (blocks.where("d = 1").mapInArrow(_spread_sums, "key long, n0 double, n1 double, below double")
+    sums = (grown.where("kind = 1").select("key", "x").mapInArrow(_spread_sums, "key long, n0 double, n1 double, below double")
             .groupBy("key").agg(F.sum("n0"), F.sum("n1"), F.sum("below")).orderBy("key").collect())
+    model = Model(depth)
     if sums:
         one, n0, n1, below = (np.array(x) for x in zip(*sums, strict=True))
         model.finish(one.astype(U), n0, n1, below)
-    return model
+    closed = grown.where("kind = 0").select("key", "n", "x").mapInArrow(_close(spark.sparkContext.broadcast(model)), "key long, n long, log double")
+    return save(closed, "ctw-strings")
 
 
-def _spread_sums(batches):
-    for batch in batches:
-        for row in batch.to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["slots"], np.int64)),
-                                              *[pa.array(np.frombuffer(row[c], np.float64)) for c in ("counts", "odds", "weights")]], ["key", "n0", "n1", "below"])
+def split_frequent(logs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """(sorted strings, their logs, rows of all others): at most 2 ** bits strings are frequent.
+
+    Frequency is cut between classes, so no more than some hundred counts are collected.
+    """
+    logs = logs.withColumn("class", F.floor(F.log2("n") * CLASSES).cast("int"))
+    cut, room = None, 1 << bits
+    for r in logs.groupBy("class").count().orderBy(F.desc("class")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        cut = r["class"]
+    if cut is None:
+        return np.zeros(0, U), np.zeros(0), logs
+    top = logs.where(F.col("class") >= cut).select("key", "log").toArrow()
+    keys, values = top["key"].to_numpy().view(U), top["log"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order], logs.where(F.col("class") < cut)
 
 
 # ------------------------------------------------------------------- scoring
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-                    ("score", pa.float64()), ("n_bytes", pa.int64()), ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+                    ("score", pa.float64()), ("n_bytes", pa.int64()), ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
+                    ("strings", pa.list_(pa.int64())), ("string_times", pa.list_(pa.int64()))])
 SCORED_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long,"
-              " words array<long>, times array<long>")
+              " words array<long>, times array<long>, strings array<long>, string_times array<long>")
+
+
+def _lists(doc: np.ndarray, keys: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """Distinct keys of each of ``n`` texts and how often each is there."""
+    distinct, code = np.unique(keys, return_inverse=True)
+    width = max(1, len(distinct))
+    pair, times = np.unique(doc * width + code, return_counts=True)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(pair // width, minlength=n))]).astype(np.int32))
+    return (pa.ListArray.from_arrays(offsets, pa.array(distinct[pair % width].view(np.int64))),
+            pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64))))
 
 
-def _score(model, frequent, end_log: float, end_known: int):
-    """Scores of texts; words that are not frequent are left to a join.
+def _score(depth: int, common, frequent, end_log: float, end_known: int):
+    """Scores of texts; strings and words that are not frequent are left to a join.
 
-    ``model`` and ``frequent`` (sorted word hashes, log10 probabilities) are
-    broadcast variables.
+    ``common`` (sorted strings, log10 probabilities) and ``frequent`` (sorted
+    word hashes, log10 probabilities) are broadcast variables.
     """
     def run(batches):
-        scorer, (known, logs) = Scorer(model.value), frequent.value
+        scorer, (known, logs) = Scorer(*common.value), frequent.value
         for rows, texts in text_slices(batches, max_bytes=SLICE):
             texts = pc.ascii_lower(texts)
-            strings, ends = grams(texts, model.value.depth)
-            score = np.add.reduceat(scorer.log_probability(strings), ends[:-1])
+            strings, ends = grams(texts, depth)
+            value = scorer.log_probability(strings)
+            left = np.flatnonzero(np.isnan(value))
+            value[left] = 0.0
+            score = np.add.reduceat(value, ends[:-1])
             words, at = coded_words(texts)
             n, n_words = len(texts), np.diff(at)
             doc = np.repeat(np.arange(n), n_words)
@@ -394,12 +421,9 @@ def _score(model, frequent, end_log: float, end_known: int):
             base = np.bincount(doc, log[code], n) + end_log
             n_known = np.bincount(doc, hit[code], n).astype(np.int64) + end_known
             rare = ~hit[code]
-            pair, times = np.unique(doc[rare] * max(1, len(distinct)) + code[rare], return_counts=True)
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(pair // max(1, len(distinct)), minlength=n))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 rows.column(0), rows.column(2), pa.array(n_words + 1), pa.array(n_known), pa.array(base), pa.array(score), pa.array(np.diff(ends) - 1),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(distinct[pair % max(1, len(distinct))].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int64)))], schema=SCORED)
+                *_lists(doc[rare], words[rare], n), *_lists(np.searchsorted(ends, left, side="right") - 1, strings[left], n)], schema=SCORED)
     return run
 
 
@@ -416,13 +440,13 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, bits: dict[int, int] |
     byte, its only token the end. A null doc_id counts as the empty string,
     which is not held out. Repeated rows train and are scored each. Without
     training rows the byte model is uniform and N is 0. An empty table gives
-    no rows.
+    no rows. ``bits`` (its largest) and ``word_bits`` bound what is broadcast,
+    log2 of the strings and words; they do not change the scores.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", is_held_out().alias("held_out"))
-    training = rows.where("not held_out")
-    counts = train_text(training, depth)
-    n_train = training.count()
+    counts = count_texts(rows, depth)
+    n_train = rows.where("not held_out").count()
     words = counts.where("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("count"))
     size = words.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     n, v = (size["n"] or 0) + n_train, size["v"] + (n_train > 0)
@@ -432,27 +456,30 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, bits: dict[int, int] |
     hashes = top["word"].to_numpy(np.int64).view(U)
     order = np.argsort(hashes)
     frequent = spark.sparkContext.broadcast((hashes[order], np.log10((top["count"].to_numpy(np.float64)[order] + 0.5) / base)))
-    model = spark.sparkContext.broadcast(build_model(counts, depth, bits))
-    run = _score(model, frequent, float(np.log10((n_train + 0.5) / base)), int(n_train > 0))
+    known, logs, others = split_frequent(string_logs(counts, depth), max(bits.values()) if bits else STRING_BITS)
+    common = spark.sparkContext.broadcast((known, logs))
+    run = _score(depth, common, frequent, float(np.log10((n_train + 0.5) / base)), int(n_train > 0))
     scored = save(rows.mapInArrow(run, SCORED_DDL).withColumn("row", F.monotonically_increasing_id()), "ctw-scores")
     rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
     found = rare.join(words, rare["words"] == words["word"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
     joined = (found.groupBy("row").agg(F.sum(F.col("times") * F.log10((F.col("count") + 0.5) / F.lit(base))).alias("more"),
                                        F.sum(F.when(F.col("count") > 0, F.col("times")).otherwise(0)).alias("more_known")))
-    return (scored.drop("words", "times").join(joined, "row", "left")
+    rest = scored.select("row", F.explode(F.arrays_zip("strings", "string_times")).alias("s")).select("row", "s.strings", "s.string_times")
+    deep = (rest.join(others, rest["strings"] == others["key"]).groupBy("row")
+            .agg(F.sum(F.col("string_times") * F.col("log")).alias("more_score")))
+    return (scored.drop("words", "times", "strings", "string_times").join(joined, "row", "left").join(deep, "row", "left")
+            .withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
             .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                     F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score", "n_bytes",
                     (-F.col("score") * float(np.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte")))
 
 
 def train_local(texts: pa.Array, depth: int = DEPTH, bits: dict[int, int] | None = None) -> Model:
-    """The model of a few texts, in one process (for tests)."""
-    bits = bits or TABLE_BITS
+    """The model of a few texts, in one process (for tests). All nodes are kept, whatever ``bits``."""
     keys, counts = np.unique(grams(pc.ascii_lower(texts), depth)[0], return_counts=True)
-    model = Model(depth, bits)
-    if len(keys):
-        folded, sums = grow_trees(keys, counts, depth, bits)
-        for d, (slot, check, _, odds, weight) in folded.items():
-            model.odds[d][slot], model.weight[d][slot], model.check[d][slot] = odds, weight, check
-        model.finish(*sums)
+    if not len(keys):
+        return Model(depth)
+    nodes, sums = grow_trees(keys, counts, depth)
+    model = Model(depth, nodes)
+    model.finish(*sums)
     return model

@@ -148,3 +148,11 @@ def test_held_out_texts_cost_less_than_with_shallow_contexts(spark):
     shallow = ctw.score_documents(docs, depth=2).where("held_out").agg({"score": "sum"}).first()
     bits = -deep["sum(score)"] * math.log2(10) / deep["sum(n_bytes)"]
     assert bits < 2.9 and deep["sum(score)"] > shallow["sum(score)"]
+
+
+@pytest.mark.parametrize("bits", [1, 4, 18])
+def test_no_node_is_lost_whatever_is_broadcast(spark, bits):
+    rows = list(enumerate(TEXTS * 4))
+    out = ctw.score_documents(frame(spark, rows).repartition(3), depth=3, bits={2: bits, 3: bits}).collect()
+    brute = Brute([t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1], 3)
+    assert len(out) == len(rows) and all(abs(r["score"] - brute.log10(dict(rows)[r["doc_id"]])) < 1e-6 for r in out)
