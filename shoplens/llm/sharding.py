@@ -6,8 +6,9 @@ fine`` of them, as their sizes add up to no more than all bytes); all smaller
 groups are gathered by a hash of their text into ``shards * fine`` bundles.
 So the items are bounded by the shard count, not by the data, and the packing
 runs on the driver: items in descending order enter the bin with the tightest
-remaining capacity, found in a balanced tree. The capacity is the smallest
-for which best-fit decreasing needs no more than the given shards.
+remaining capacity, found in a balanced tree. An item above the even share of
+what is left gets a shard of its own; for the others the capacity is the
+smallest for which best-fit decreasing needs no more than the remaining shards.
 """
 
 from __future__ import annotations
@@ -118,8 +119,20 @@ def best_fit(items: list[tuple[int, object]], capacity: int, limit: int | None =
 
 
 def pack_into(items: list[tuple[int, object]], shards: int) -> dict:
-    """Best-fit decreasing with the smallest capacity that needs at most ``shards`` bins."""
+    """Best-fit decreasing with the smallest capacity that needs at most ``shards`` bins.
+
+    Items larger than the even share of what is left have bins of their own,
+    the first ones, so that they do not set the capacity of the others.
+    """
     items = sorted(items, key=lambda x: (-x[0], x[1]))
+    own, rest = {}, sum(s for s, _ in items)
+    while len(own) < len(items) and items[len(own)][0] * (shards - len(own)) > rest:
+        size, name = items[len(own)]
+        own[name] = len(own)
+        rest -= size
+    items, shards = items[len(own):], shards - len(own)
+    if not items:
+        return own
     low = max([-(-sum(s for s, _ in items) // shards), *(s for s, _ in items[:1]), 1])
     high, best = low, best_fit(items, low, shards)
     step = max(1, low // 1000)
@@ -134,7 +147,7 @@ def pack_into(items: list[tuple[int, object]], shards: int) -> dict:
             low = mid + 1
         else:
             high, best = mid, found
-    return best
+    return own | {name: k + len(own) for name, k in best.items()}
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, fine: int = FINE) -> DataFrame:
@@ -143,7 +156,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, fine: int = FINE) -> Da
     Size is the UTF-8 length of the text (null: 0) plus 8. Equal texts stay in
     one shard; null and empty texts are one group. Slots are 0, 1, ... within
     a shard, ordered by group, then doc_id; repeated rows get slots of their
-    own. A group larger than an even share makes its shard as large as itself.
+    own. A group larger than an even share has a shard to itself; the other shards
+    share the rest evenly.
     An empty table gives no rows. Texts are hashed where they are read and not
     shuffled; groups are pre-aggregated before the shuffle.
     """

@@ -75,6 +75,30 @@ def test_shards_empty_table_and_one_huge_group(spark):
     assert len({r["shard"] for r in out if r["size"] == 16}) == 1 and len(out) == 51
 
 
+def test_other_shards_stay_even_beside_giants():
+    rng = random.Random(4)
+    for giants in ([100_000], [60_000, 30_000], [15_000]):  # of 200,000 bytes and more of others
+        items = [(s, f"giant{i}") for i, s in enumerate(giants)] + [(rng.randint(1, 40), f"x{i:05}") for i in range(10_000)]
+        place = sharding.pack_into(items, 24)
+        load = [sum(s for s, n in items if place[n] == k) for k in range(24)]
+        assert set(place) == {n for _, n in items} and sorted(load)[-len(giants):] == sorted(giants)
+        others = sorted(load)[:-len(giants)]
+        assert others[-1] - others[0] <= 0.02 * others[-1]
+    assert sorted(sharding.pack_into([(9, "a"), (0, "c"), (1, "b")], 5)) == ["a", "b", "c"]
+    assert sharding.pack_into([], 5) == {}
+
+
+def test_a_group_of_a_third_leaves_no_shard_empty(spark):
+    rows = docs(400)
+    n = sum(len((t or "").encode()) + 8 for _, t, _ in rows)
+    rows += [(10_000 + i, "g" * 992, "a") for i in range(n // 2000)]  # a third of all bytes
+    out = sharding.assign_shards(frame(spark, rows), shards=8).collect()
+    load = [sum(r["size"] for r in out if r["shard"] == k) for k in range(8)]
+    giant = sum(r["size"] for r in out if r["size"] == 1000)
+    others = sorted(load)[:-1]
+    assert len(out) == len(rows) and max(load) == giant and others[-1] - others[0] <= 0.1 * others[-1]
+
+
 def brute_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: [3, 1, 2][i % 3] for i, s in enumerate(names)}
