@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import save, text_slices
@@ -31,6 +31,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _HINT = re.compile(r"[0-9@][^\x20\x09-\x0D]*")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Neighbouring groups of digits, between white space or punctuation, and the digits of one identifier.
+_RUN = re.compile(r"(?<![^\x20\x09-\x0D\"'`,;:!?(\[{<>*#$%&|])\(?[0-9]+(?:[\x20().-]{1,3}[0-9]+)+(?![^\x20\x09-\x0D\"'`.,;:!?)\]}<>*#$%&|])")
+RUN_DIGITS = (7, 19)
 _EDGE = "\"'`.,;:!?()[]{}<>*#$%&|"
 
 
@@ -89,7 +92,11 @@ def _fits(kind: int, value: str) -> bool:
 
 
 def tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """(start, end, value, kind or None, patterns) of seeds and other identifier-shaped tokens."""
+    """(start, end, value, kind or None, patterns) of seeds and other identifier-shaped tokens.
+
+    A run of neighbouring digit groups with the digits of one identifier is a
+    candidate as a whole, beside the tokens in it.
+    """
     places = [(a, b, k) for a, k, b in spans]
     covered, last = [], -1
     for a, b, _ in sorted(places):
@@ -108,6 +115,13 @@ def tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
             b -= 1
         if b - a >= 5 and not any(x < b and a < y for x, y in covered) and any(_fits(k, text[a:b]) for k in range(len(KINDS))):
             places.append((a, b, None))
+    single = {(a, b) for a, b, _ in places}
+    for m in _RUN.finditer(text):
+        a, b = m.span()
+        if text[a] == "(" and ")" not in m[0]:
+            a += 1
+        if RUN_DIGITS[0] <= len(_digits(m[0])) <= RUN_DIGITS[1] and (a, b) not in single and not any(x < b and a < y for x, y in covered):
+            places.append((a, b, None))
     out = []
     for a, b, k in places:
         before = [w.strip(_EDGE).lower() for w in text[max(0, a - 80):a].rstrip("".join(_EDGE)).split()[-2:]]
@@ -188,14 +202,16 @@ def find_spans(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, pa
     ``docs`` needs doc_id and text; other columns are ignored. A null or empty
     text has no spans. Repeated rows are scanned each for itself; each value
     counts once as evidence, however often it is repeated. A token that equals
-    a seed found elsewhere counts as found, too. Of a value found for two kinds the better scored counts, ties the earlier kind. An empty
+    a seed found elsewhere counts as found, too. Of found spans within each other the outer counts. Of a value found for two kinds the better scored counts, ties the earlier kind. An empty
     table gives no rows. The text is read once and not shuffled.
     """
     scanned = scan(docs)
     found = occurrences(scanned)
     known = bootstrap(found, rounds, support, pattern_confidence, value_score)
     best = known.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
-    extra = (found.where("kind is null").drop("kind").join(best, "value").groupBy("row")
+    before = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    extra = (found.where("kind is null").drop("kind").join(best, "value").withColumn("reach", F.max("end").over(before))
+             .where("reach is null or end > reach").groupBy("row")
              .agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("extra")))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     return scanned.join(extra, "row", "left").select("doc_id", "key", "base", F.coalesce("extra", empty).alias("extra"))

@@ -217,6 +217,21 @@ def test_unseen_identifiers_are_found_and_masked(spark):
     assert masked == sorted([(d, t, 5 if t is None else len(t), "x") for d, t in expect], key=str)
 
 
+def test_numbers_of_several_tokens_are_found_whole(spark):
+    forms = ["555 867 2000", "(555) 867-2001", "555.867 2002", "(555 867 2003)", "5558672004 24"]
+    whole = ["555 867 2000", "(555) 867-2001", "555.867 2002", "555 867 2003", "5558672004 24"]
+    rows = planted() + [(400 + i, f"oak elm reach me under {x} any day ash") for i, x in enumerate(forms)]
+    rows += [(500, "oak elm reach me under 5558672005 or so")]
+    df = text_frame(spark, rows)
+    spans = {r["doc_id"]: r["extra"] for r in pii.find_spans(df).collect()}
+    for i, x in enumerate(whole):
+        text = dict(rows)[400 + i]
+        assert [(text[s["start"]:s["end"]], s["kind"]) for s in spans[400 + i]] == [(x, 3)]
+    assert len(spans[500]) == 1 and not any(spans[200 + i] for i in range(40))
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert not any("867" in masked[400 + i] for i in range(len(forms)))
+
+
 def test_pii_empty_table(spark):
     assert pii.find_spans(text_frame(spark, [])).count() == 0 and pii.redact(text_frame(spark, [])).count() == 0
 
