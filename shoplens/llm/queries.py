@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import ctw, minhash, mixing, packing, pii, quality, rabitq, sharding, spelling, token_files, warc
+from shoplens.llm import ctw, langid, minhash, mixing, packing, pii, quality, rabitq, sharding, spelling, token_files, warc, whitening
 from shoplens.llm.common import table
 from shoplens.session import scratch_path
 
@@ -57,8 +57,16 @@ def op10_rabitq_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op13_vgram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_probminhash_dedup, op2_bestfit_sharding, op3_context_tree, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences, op10_rabitq_links, op13_vgram_variants)}
+QUERIES = {f.__name__: f for f in (op1_probminhash_dedup, op2_bestfit_sharding, op3_context_tree, op4_warc_salvage, op5_bin_completion, op6_boosted_quality, op7_bootstrapped_pii, op8_fair_queueing, op9_arrow_sequences, op10_rabitq_links, op11_crf_language, op12_block_whitening, op13_vgram_variants)}
