@@ -246,10 +246,10 @@ def _fold(docs: DataFrame):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS
 
 
-def learned_languages(training: DataFrame, languages: int = LANGUAGES) -> list[str]:
-    """The most frequent languages of the training documents (ties by name), sorted."""
+def learned_languages(training: DataFrame, languages: int = LANGUAGES) -> dict[str, int]:
+    """The most frequent languages of the training documents (ties by name), sorted, with their documents."""
     top = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    return sorted(r["lang"] for r in top.collect())
+    return dict(sorted((r["lang"], r["n"]) for r in top.collect()))
 
 
 def learn_lexicon(training: DataFrame, languages: list[str], one_in: int = LEXICON_ONE_IN) -> dict[str, np.ndarray]:
@@ -278,8 +278,13 @@ def learn_lexicon(training: DataFrame, languages: list[str], one_in: int = LEXIC
     return {w: x / x.sum() for w, x in shares.items()}
 
 
-def sample_segments(training: DataFrame, languages: list[str], per_language: int = PER_LANGUAGE) -> list[tuple[int, list[str]]]:
-    """(language number, words) of segments spread evenly over whole texts of a bounded sample of documents."""
+def sample_segments(training: DataFrame, languages: dict[str, int], per_language: int = PER_LANGUAGE) -> list[tuple[int, list[str]]]:
+    """(language number, words) of segments spread evenly over whole texts of a bounded sample of documents.
+
+    The sample is each language's first documents by a hash. Only documents
+    below a hash that some four times as many pass are ranked, by their
+    segments, so no task gathers a language.
+    """
     number = {name: i for i, name in enumerate(languages)}
 
     def run(batches):
@@ -288,26 +293,30 @@ def sample_segments(training: DataFrame, languages: list[str], per_language: int
             language, segment = [], []
             for name, a, b in zip(rows.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 starts = np.linspace(a, max(a, b - SEGMENT_WORDS), SEGMENTS).astype(np.int64) if b > a else []
-                for at in dict.fromkeys(int(x) for x in starts):
-                    language.append(number[name])
-                    segment.append([w[:SAMPLE_LETTERS] for w in words.slice(at, min(SEGMENT_WORDS, b - at)).to_pylist()])
-            yield pa.RecordBatch.from_arrays([pa.array(language, pa.int32()), pa.array(segment, pa.list_(pa.string()))], ["language", "words"])
+                own = [[w[:SAMPLE_LETTERS] for w in words.slice(at, min(SEGMENT_WORDS, b - at)).to_pylist()] for at in dict.fromkeys(int(x) for x in starts)]
+                language.append(number[name])
+                segment.append(own)
+            yield pa.RecordBatch.from_arrays([pa.array(language, pa.int32()), rows.column(1), rows.column(2), pa.array(segment, pa.list_(pa.list_(pa.string())))],
+                                             ["language", "draw", "key", "segments"])
 
-    best = Window.partitionBy("lang").orderBy("order", "doc_id", "key")
-    ranked = training.select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("order"), F.xxhash64("text").alias("key"))
-    chosen = ranked.withColumn("place", F.row_number().over(best)).where(F.col("place") <= per_language)
-    found = chosen.select("lang", "text").mapInArrow(run, "language int, words array<string>").collect()
-    return sorted((r["language"], list(r["words"])) for r in found)
+    draw, spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)), F.lit(float(1 << 40))
+    share = F.element_at(F.create_map(*[F.lit(x) for name, n in languages.items() for x in (name, 4.0 * per_language / n)]), F.col("lang"))
+    likely = training.where(draw < share * spread).select("lang", draw.alias("draw"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    cut = likely.mapInArrow(run, "language int, draw long, key long, segments array<array<string>>")
+    first = Window.partitionBy("language").orderBy("draw", "key")
+    chosen = cut.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
+    return sorted((r["language"], list(words)) for r in chosen.collect() for words in r["segments"])
 
 
 def learn(docs: DataFrame, languages: int = LANGUAGES, per_language: int = PER_LANGUAGE, one_in: int = LEXICON_ONE_IN) -> Field:
     """The field learned from the documents with a language that are not held out."""
     training = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (_fold(docs) != HELD_OUT))
-    names = learned_languages(training, languages)
-    if not names:
+    found = learned_languages(training, languages)
+    if not found:
         return fit_field([], [], {})
+    names = list(found)
     training = training.where(F.col("lang").isin(names))
-    return fit_field(names, sample_segments(training, names, per_language), learn_lexicon(training, names, one_in))
+    return fit_field(names, sample_segments(training, found, per_language), learn_lexicon(training, names, one_in))
 
 
 def identify(docs: DataFrame, languages: int = LANGUAGES, per_language: int = PER_LANGUAGE, one_in: int = LEXICON_ONE_IN) -> DataFrame:
