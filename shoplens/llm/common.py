@@ -85,18 +85,32 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Cut Arrow batches into slices of about ``max_bytes`` of text.
 
-    Memory per step is bounded by the slice (or by one text, if that alone is
-    larger). No row is skipped.
+    Beside the batch, memory per step is bounded by the slice (or by one text,
+    if that alone is larger): a slice is cut before its texts are copied, and
+    freed memory is given back after each batch. No row is skipped.
     """
     for batch in batches:
-        texts = as_text(batch.column(batch.schema.get_field_index(column)))
-        _, offsets = text_buffers(texts)
+        texts = batch.column(batch.schema.get_field_index(column))
+        if pa.types.is_null(texts.type):
+            texts = texts.cast(pa.large_string())
+        sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
         start = 0
         while start < len(texts):
             end = int(np.searchsorted(offsets, offsets[start] + max_bytes, side="right")) - 1
             end = min(max(end, start + 1), len(texts))
-            yield batch.slice(start, end - start), texts.slice(start, end - start)
+            yield batch.slice(start, end - start), as_text(texts.slice(start, end - start))
             start = end
+        pa.default_memory_pool().release_unused()
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of ``df`` has (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    lead = "_"
+    while any((lead + n).lower() in taken for n in names):
+        lead += "_"
+    return [lead + n for n in names]
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import as_text, coded_words, mix64, save, text_key, text_slices
+from shoplens.llm.common import as_text, coded_words, free_names, mix64, save, text_key, text_slices
 from shoplens.llm.components import components, local_roots
 
 WORDS, THRESHOLD = 5, 0.8
@@ -383,13 +383,16 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """One row of ``docs`` of each group of near-duplicates, with all its columns.
 
     The kept row has the group's smallest doc_id; of several such rows, the
-    one with the smallest text key stays, of equal texts any one.
+    one with the smallest text key stays, of equal texts any one. A null id
+    counts as larger than any, a null text as empty; all other columns stay,
+    whatever their names. An empty table gives no rows.
     """
     groups = near_duplicate_groups(docs, **settings)
     first = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node")
-    chosen = groups.groupBy("component").agg(F.min(first).alias("f")).select(F.col("f.doc_id").alias("__doc"), F.col("f.node").alias("__node"))
-    rows = docs.withColumn("__key", text_key(F.col("text")))
-    kept = rows.join(chosen, rows["doc_id"].cast("long").eqNullSafe(chosen["__doc"]) & (rows["__key"] == chosen["__node"]), "left_semi")
+    doc, node, key = free_names(docs, "doc", "node", "key")
+    chosen = groups.groupBy("component").agg(F.min(first).alias("f")).select(F.col("f.doc_id").alias(doc), F.col("f.node").alias(node))
+    rows = docs.withColumn(key, text_key(F.col("text")))
+    kept = rows.join(chosen, rows["doc_id"].cast("long").eqNullSafe(chosen[doc]) & (rows[key] == chosen[node]), "left_semi")
     if not groups.where("kept").groupBy("doc_id", "node").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "__key"])
+        kept = kept.dropDuplicates(["doc_id", key])
     return kept.select(*docs.columns)

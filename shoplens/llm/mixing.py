@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import WORD, save
+from shoplens.llm.common import free_names, WORD, save
 
 WEIGHTS, SHARE, ROUNDS = (3, 1, 2), 1.5, 2
 
@@ -108,18 +108,21 @@ def draw_mix(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
     """The mixed rows of ``docs``, with all their columns, in order of finish time.
 
     A document taken twice comes twice, at its two places. Rows alike in
-    doc_id, text and source are one row, taken as often as all of them.
+    doc_id, text and source are one row, taken as often as all of them. A null
+    text is never taken, a null source is a source of its own, all other
+    columns stay, whatever their names. An empty table gives no rows.
     """
     mixed = mix(docs, seed=seed, **settings).where("times > 0")
     alike = mixed.groupBy("doc_id", "source", "draw").agg(
         F.sum("times").alias("times"), F.min("finish").alias("finish"), F.first(F.col("source_size") / F.col("target")).alias("round"), F.count("*").alias("n"))
-    taken = save(alike, "mix-taken").select(F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("draw").alias("__draw"),
-                                            "times", "finish", "round", "n").withColumnsRenamed({c: f"__{c}" for c in ("times", "finish", "round", "n")})
-    rows = docs.withColumn("__key", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
-    same = rows["doc_id"].eqNullSafe(taken["__doc"]) & rows["source"].eqNullSafe(taken["__source"]) & (rows["__key"] == taken["__draw"])
+    doc, source, draw, times, finish, whole, n, key, turn, place = free_names(docs, "doc", "source", "draw", "times", "finish", "round", "n", "key", "turn", "at")
+    taken = save(alike, "mix-taken").select(F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("draw").alias(draw), F.col("times").alias(times),
+                                            F.col("finish").alias(finish), F.col("round").alias(whole), F.col("n").alias(n))
+    rows = docs.withColumn(key, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
+    same = rows["doc_id"].eqNullSafe(taken[doc]) & rows["source"].eqNullSafe(taken[source]) & (rows[key] == taken[draw])
     joined = rows.join(taken, same)
-    if not taken.where("__n > 1").isEmpty():
-        joined = joined.dropDuplicates(["__doc", "__source", "__draw"])
-    turns = joined.withColumn("__turn", F.explode(F.sequence(F.lit(0), F.col("__times").cast("int") - 1)))
-    at = F.col("__finish") + F.col("__turn") * F.col("__round")
-    return (turns.withColumn("__at", at).repartitionByRange("__at", "__key").sortWithinPartitions("__at", "__key").select(*docs.columns))
+    if not taken.where(F.col(n) > 1).isEmpty():
+        joined = joined.dropDuplicates([doc, source, draw])
+    turns = joined.withColumn(turn, F.explode(F.sequence(F.lit(0), F.col(times).cast("int") - 1)))
+    at = F.col(finish) + F.col(turn) * F.col(whole)
+    return turns.withColumn(place, at).repartitionByRange(place, key).sortWithinPartitions(place, key).select(*docs.columns)

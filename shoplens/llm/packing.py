@@ -202,6 +202,9 @@ def place_table(runs: list[tuple[Pattern, int]]) -> dict[int, np.ndarray]:
 
 # ---------------------------------------------------------------- on documents
 
+#: Bytes of text encoded at once: its ids take some thirty times as much while they are cut.
+SLICE = 1 << 20
+
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long,"
           " part int, nth long")
 
@@ -210,7 +213,7 @@ def _cut(path: str, capacity: int, end_id: int):
     def run(batches):
         encoder, part = encoder_for(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for rows, texts in text_slices(batches, max_bytes=8 << 20):
+        for rows, texts in text_slices(batches, max_bytes=SLICE):
             ids, offsets = encoder.encode(texts, end_id)
             sizes = np.diff(offsets)
             pieces = -(-sizes // capacity)

@@ -11,13 +11,14 @@ confident patterns find are added, and count as evidence in the next turn.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import save, text_slices
+from shoplens.llm.common import free_names, save, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Turns of the graph, distinct seeds a pattern needs, and lowest confidences.
@@ -25,7 +26,7 @@ ROUNDS, SUPPORT, PATTERN_CONFIDENCE, VALUE_SCORE = 2, 3, 0.7, 0.9
 
 # The base expressions.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -105,6 +106,12 @@ def tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
         else:
             covered[-1][1] = max(b, covered[-1][1])
         last = covered[-1][1]
+    starts = [a for a, _ in covered]
+
+    def apart(a: int, b: int) -> bool:
+        at = bisect.bisect_left(starts, b)
+        return at == 0 or covered[at - 1][1] <= a
+
     for m in _HINT.finditer(text):
         a, b = m.start(), m.end()
         while a > 0 and text[a - 1] not in "\x20\t\n\x0b\x0c\r":
@@ -113,14 +120,14 @@ def tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
             a += 1
         while b > a and text[b - 1] in _EDGE:
             b -= 1
-        if b - a >= 5 and not any(x < b and a < y for x, y in covered) and any(_fits(k, text[a:b]) for k in range(len(KINDS))):
+        if b - a >= 5 and apart(a, b) and any(_fits(k, text[a:b]) for k in range(len(KINDS))):
             places.append((a, b, None))
     single = {(a, b) for a, b, _ in places}
     for m in _RUN.finditer(text):
         a, b = m.span()
         if text[a] == "(" and ")" not in m[0]:
             a += 1
-        if RUN_DIGITS[0] <= len(_digits(m[0])) <= RUN_DIGITS[1] and (a, b) not in single and not any(x < b and a < y for x, y in covered):
+        if RUN_DIGITS[0] <= len(_digits(m[0])) <= RUN_DIGITS[1] and (a, b) not in single and apart(a, b):
             places.append((a, b, None))
     out = []
     for a, b, k in places:
@@ -243,18 +250,21 @@ def redact(docs: DataFrame, **settings) -> DataFrame:
 
     Base spans are found again where the text is; only documents with unseen
     identifiers meet their extra spans, by doc_id and a hash of the text. A
-    null text stays null. All other columns stay.
+    null text stays null, an empty one empty; a null doc_id is an id of its
+    own; repeated rows are masked each. All other columns stay, whatever their
+    names. An empty table gives no rows.
     """
     spans = find_spans(docs, **settings)
-    extra = (spans.where(F.size("extra") > 0).groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
-             .agg(F.first("extra").alias("__extra")))
+    doc, key, more = free_names(docs, "doc", "key", "extra")
+    extra = (spans.where(F.size("extra") > 0).groupBy(F.col("doc_id").alias(doc), F.col("key").alias(key))
+             .agg(F.first("extra").alias(more)))
     schema = docs.schema
     names = docs.columns
-    joined = docs.join(extra, docs["doc_id"].eqNullSafe(extra["__doc"]) & (F.xxhash64(docs["text"]) == extra["__key"]), "left").drop("__doc", "__key")
+    joined = docs.join(extra, docs["doc_id"].eqNullSafe(extra[doc]) & (F.xxhash64(docs["text"]) == extra[key]), "left").drop(doc, key)
 
     def run(batches):
         at_text, at_chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
-        for batch in batches:
+        for batch, _ in text_slices(batches):
             texts, extras = batch.column(at_text).to_pylist(), batch.column(len(names)).to_pylist()
             new = [t if t is None else mask(t, base_spans(t) + [(s["start"], s["kind"], s["end"]) for s in e or []])
                    for t, e in zip(texts, extras, strict=True)]

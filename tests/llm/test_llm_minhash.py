@@ -166,3 +166,10 @@ def test_keep_one(spark):
 
 def test_empty_table(spark):
     assert minhash.near_duplicate_groups(frame(spark, [])).count() == 0 and minhash.keep_one(frame(spark, [])).count() == 0
+
+
+def test_keep_one_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", 3, "p"), (2, "a b c d e f", 4, "q"), (None, None, 5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int, __node string")
+    got = minhash.keep_one(docs)
+    assert got.schema == docs.schema and sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2]], key=str)

@@ -1,5 +1,6 @@
 """Quality statistics and trees, and personal data, against brute force."""
 
+import time
 import hashlib
 import random
 import re
@@ -238,3 +239,21 @@ def test_pii_empty_table(spark):
 
 def test_mask_overlaps():
     assert pii.mask("abcdefgh", [(1, 0, 4), (2, 3, 6), (7, 1, 8)]) == "a[EMAIL]g[IP]"
+
+
+def test_long_digits_and_many_addresses_take_seconds():
+    begun = time.monotonic()
+    digits = "7" * 1_000_000
+    assert pii.base_spans(f"{digits} 1.2.3.4 {digits}.1.1.1") == [(1_000_001, 1, 1_000_008)]
+    text = " ".join(f"name{i}@host{i}.org" for i in range(100_000))
+    spans = pii.base_spans(text)
+    assert len(spans) == len(pii.tokens(text, spans)) == 100_000
+    assert time.monotonic() - begun < 30
+
+
+def test_redact_keeps_columns_of_any_name(spark):
+    rows = [(1, "mail a.b@c.org now", 5, "x", 7), (None, None, 6, None, 8), (2, "", 0, "y", 9), (2, "", 0, "y", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int, __extra string, _Doc int")
+    got = sorted(map(tuple, pii.redact(docs).collect()), key=str)
+    assert pii.redact(docs).schema == docs.schema
+    assert got == sorted([(1, "mail [EMAIL] now", 5, "x", 7), *rows[1:]], key=str)

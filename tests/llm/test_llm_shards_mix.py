@@ -155,3 +155,10 @@ def test_mix_follows_the_queues(spark):
 def test_mix_empty_tables(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
     assert [(r["size"], r["times"], r["target"], r["finish"]) for r in mixing.mix(frame(spark, [(1, None, None), (2, "", "a")])).collect()] == [(0, 0, 0.0, None)] * 2
+
+
+def test_draw_mix_keeps_columns_of_any_name(spark):
+    rows = [(i, "a b c", "s" if i % 2 else "t", i, "k") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _turn int, __Key string")
+    got = mixing.draw_mix(docs)
+    assert got.schema == docs.schema and {tuple(r) for r in got.collect()} <= set(rows) and got.count() >= 20
