@@ -39,11 +39,6 @@ def _enriched_sized(spark: SparkSession, d: str):
     return enrich.orders_enriched(o, i, r, sizes=sizes), sizes
 
 
-def _enriched_plain(spark: SparkSession, d: str) -> DataFrame:
-    """orders_enriched by plain joins, for results that only aggregate its keys."""
-    return enrich.orders_enriched(*_fx(spark, d, "orders", "order_items", "reviews"), split_hot=False)
-
-
 def _enriched(spark: SparkSession, d: str) -> DataFrame:
     return _enriched_sized(spark, d)[0]
 
@@ -188,7 +183,7 @@ def dq_quarantine_orders(spark, d):
 
 
 def order_baskets(spark, d):
-    return features.order_baskets(_enriched_plain(spark, d))
+    return features.order_baskets_from_tables(*_fx(spark, d, "orders", "order_items", "reviews"))
 
 
 def product_basket_items(spark, d):

@@ -22,6 +22,8 @@ SESSION_CONF = {
     # split a skewed join partition even when that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # tables that load at the same time share the executors
+    "spark.scheduler.mode": "FAIR",
     # checkpoint files go when their frame is garbage
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from shoplens.sources.tables import DEFAULT_FORMAT
+from shoplens.storage import new_version, replace_table, restore_table
 
 MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -27,11 +28,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     ``mode`` is overwrite, append, ignore or error. Before an append the stored
     schema is compared with ``df``'s (Parquet has no such check of its own).
     The count comes from an ``Observation`` on the write, so the plan runs
-    once. Returns None when ``ignore`` skipped an existing table.
+    once. Returns None when ``ignore`` skipped an existing table. An overwrite
+    is written beside the table and renamed (``storage``), so a failed or
+    killed one leaves the old table, and a table may be computed from itself.
     """
     if mode not in MODES:
         raise ValueError(f"unknown save mode {mode!r}")
     spark = df.sparkSession
+    beside = fmt != "delta"  # Delta's own log makes an overwrite atomic
+    if beside:
+        restore_table(spark, path)
     stored = _stored_schema(spark, path, fmt) if mode in ("append", "ignore") else None
     if mode == "ignore" and stored is not None:
         return None
@@ -42,7 +48,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    if beside and mode == "overwrite":
+        fresh = new_version(path)
+        w.save(fresh)
+        replace_table(spark, fresh, path)
+    else:
+        w.save(path)
     return obs.get["rows"]
 
 

@@ -131,3 +131,46 @@ def test_csv_roundtrip_keeps_values(spark):
     orig = fixture(spark, SF_SMALL, "orders")
     assert back.schema.simpleString() == orig.schema.simpleString()
     assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
+
+
+def test_failed_overwrite_leaves_the_old_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "lake" / "t")
+    assert write_table(spark.range(10), path) == 10
+    bad = spark.range(1000).select(F.when(F.col("id") == 999, F.raise_error("lost")).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        write_table(bad, path)
+    assert read_table(spark, path).count() == 10
+    assert write_table(spark.range(3), path) == 3 and read_table(spark, path).count() == 3
+    assert [p.name for p in (tmp_path / "lake").iterdir()] == ["t"]  # nothing is left beside it
+
+
+def test_overwrite_killed_between_its_renames(spark, tmp_path):
+    path = tmp_path / "t"
+    write_table(spark.range(10), str(path))
+    path.rename(tmp_path / ".t.old")  # the writer died here
+    assert read_table(spark, str(path)).count() == 10
+    path.rename(tmp_path / ".t.old")
+    assert write_table(spark.range(5, 7), str(path), "append") == 2 and read_table(spark, str(path)).count() == 12
+    path.rename(tmp_path / ".t.old")
+    assert write_table(spark.range(4), str(path)) == 4 and read_table(spark, str(path)).count() == 4
+
+
+def test_a_table_may_be_computed_from_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(10), path)
+    assert write_table(read_table(spark, path).where("id < 4"), path) == 4
+    assert sorted(r["id"] for r in read_table(spark, path).collect()) == [0, 1, 2, 3]
+
+
+def test_stored_counts_come_from_footers_in_one_job(spark, tmp_path):
+    from shoplens.sources.tables import stored_row_counts
+    paths = {}
+    for i, name in enumerate(["a", "b", "c"]):
+        paths[name] = str(tmp_path / name)
+        write_table(spark.range(100 * i).repartition(3), paths[name])
+    counts = stored_row_counts(spark, paths)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert {r["table_name"]: r["row_count"] for r in counts.collect()} == {"a": 0, "b": 100, "c": 200}
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 3
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session is as before

@@ -78,3 +78,24 @@ def test_swapped_header_is_reported(spark, source_dir, tmp_path):
     (tmp_path / spec.file_name).write_text("\n".join([",".join([head[1], head[0], *head[2:]]), *lines[1:]]) + "\n")
     name, ok, rows, _, message = layers.load_table(spark, spec, str(tmp_path), str(tmp_path / "lake"))
     assert (name, ok, rows) == ("sellers", False, None) and message
+
+
+def test_tables_load_at_the_same_time(spark, monkeypatch, tmp_path):
+    """Two loads wait for each other; a third that fails stops none."""
+    import threading
+
+    from shoplens.plans import layers
+    from shoplens.schemas import table_specs
+    meet, specs, pools = threading.Barrier(2, timeout=60), table_specs()[:3], []
+
+    def load(spark, spec, *_):
+        pools.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        if spec is specs[2]:
+            return (spec.name, False, None, None, "lost")
+        meet.wait()
+        return (spec.name, True, spark.range(5).count(), 0, "")
+
+    monkeypatch.setattr(layers, "load_table", load)
+    rows = layers.load_bronze(spark, str(tmp_path), str(tmp_path), specs=specs, parallel=2).collect()
+    assert [(r["table_name"], r["ok"], r["rows"]) for r in rows] == [(specs[0].name, True, 5), (specs[1].name, True, 5), (specs[2].name, False, None)]
+    assert sorted(pools) == sorted(s.name for s in specs) and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

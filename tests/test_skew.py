@@ -127,3 +127,58 @@ def test_stored_profile_roundtrip(spark, tmp_path):
     write_table(sizes.frame(), path)
     back = HotKeys.from_frame(read_table(spark, path), "order_id", 3)
     assert sorted(back.rows) == sorted(sizes.rows) and len(back.rows) >= 2
+
+
+def test_no_key_above_the_sketch_error_is_lost(spark):
+    """Far more distinct keys than a sketch holds: every frequent one is found and counted exactly."""
+    from pyspark.sql import functions as F
+    from shoplens.plans import skew
+    heavy = {f"h{i}": 400 + 10 * i for i in range(12)}
+    rows = spark.range(0, 150_000, numPartitions=6).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
+    for k, n in heavy.items():
+        rows = rows.unionByName(spark.range(0, n, numPartitions=3).select(F.lit(k).alias("k")))
+    total = 150_000 + sum(heavy.values())
+    assert min(heavy.values()) > skew.SKETCH_ERROR * total
+    found = {r["k"]: r["group_rows"] for r in hot_keys(rows, "k", 100).collect()}
+    assert found == heavy
+    sizes = skew.hot_key_sizes("k", [rows, rows.where("k like 'h%'").limit(0), rows.where("k = 'h3'")], 100)
+    assert {r[0]: r[1:] for r in sizes.rows} == {k: (n, 0, n if k == "h3" else 0, n * (n if k == "h3" else 1)) for k, n in heavy.items()}
+
+
+def test_sizing_shuffles_no_input_by_key(spark):
+    from pyspark.sql import functions as F
+    from shoplens.plans import skew
+    rows = spark.range(0, 1000).select((F.col("id") % 50).cast("string").alias("k"))
+    assert skew.frequent_keys([rows.where("id < 0") if "id" in rows.columns else rows.limit(0)], "k") is None
+    assert len(skew.frequent_keys([rows, rows.limit(0)], "k").collect()) == 50
+
+
+def test_triangular_cells_hold_each_item_once_per_block(spark):
+    """s blocks make s(s + 1) / 2 cells, and an item has s + 1 copies in all."""
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("g", f"i{j:03d}") for j in range(120)], "g string, item string")
+    hot = hot_keys(df, "g", 10)
+    _, heavy = split_by_hot(df, "g", hot)
+    pairs = blocked_pairs(heavy, hot, "g", "item", 20, "a", "b")
+    assert pairs.count() == 120 * 119 // 2 == pairs.distinct().count() and pairs.where(F.col("a") >= F.col("b")).count() == 0
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
+    cells = pairs.withColumn("cell", F.spark_partition_id()).select("cell").distinct().count()
+    assert cells <= 6 * 7 // 2
+
+
+def test_baskets_of_a_hot_order_without_its_fan_out(spark):
+    """One order holds a third of the items and of the reviews; 12 million enriched rows are never built."""
+    from pyspark.sql import functions as F
+    orders = spark.createDataFrame([(f"o{i}",) for i in range(50)] + [("hot",), (None,), ("o1",)], "order_id string")
+    items = (spark.range(0, 4000).select(F.lit("hot").alias("order_id"), (F.col("id") % 300).cast("string").alias("product_id"))
+             .unionByName(spark.createDataFrame([("o1", "a"), ("o1", "a"), ("o2", None), ("o3", "b"), ("ghost", "z"), (None, "y")], "order_id string, product_id string")))
+    reviews = (spark.range(0, 3000).select(F.lit("hot").alias("order_id")).unionByName(
+        spark.createDataFrame([("o1",), ("o1",), ("o4",), ("o2",), (None,)], "order_id string")))
+    got = features.order_baskets_from_tables(orders, items, reviews)
+    rows = {(r["order_id"], r["product_id"]): r["copies"] for r in got.collect()}
+    assert sum(n for (o, _), n in rows.items() if o == "hot") == 4000 * 3000 and rows["hot", "0"] == 14 * 3000
+    assert rows["o1", "a"] == 2 * 2 * 2 and rows["o2", None] == 0 and rows["o3", "b"] == 1 and rows[None, None] == 0 and ("ghost", "z") not in rows
+    small = [d.where("order_id is null or order_id <> 'hot'") for d in (orders, items, reviews)]
+    plain = features.order_baskets(small[0].join(small[1], "order_id", "left").join(small[2], "order_id", "left"))
+    assert sorted_rows(features.order_baskets_from_tables(*small), plain.columns) == sorted_rows(plain)
