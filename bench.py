@@ -17,6 +17,8 @@ import statistics
 import sys
 import time
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shoplens.plans.catalog import QUERIES  # noqa: E402
@@ -35,14 +37,25 @@ HEADLINE = [
     "order_baskets",
     "dq_quarantine_orders",
 ]
+#: A fixed query of the test data that uses none of this library: its time tells
+#: how fast the machine was, so that rounds can be compared (``control``).
+CONTROL = "control"
 # Model fits (KMeans, ALS) are timed once each and reported apart from
 # ``value`` (BENCH_MODELS=0 skips them).
 MODELS = ["customer_segments", "product_recommendations"]
 
 
+def _control(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).groupBy("o_custkey", "l_partkey")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").alias("price")))
+
+
 def _run(spark, key, sf_dir):
+    query = _control if key == CONTROL else QUERIES[key]
     t0 = time.perf_counter()
-    QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    query(spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
 
@@ -63,6 +76,8 @@ def main():
     for k in keys:
         _run(spark, k, sf_dir)  # warm-up: JIT, file listing, metadata
         times[k] = round(statistics.median(_run(spark, k, sf_dir) for _ in range(runs)), 3)
+    _run(spark, CONTROL, sf_dir)
+    control = round(statistics.median(_run(spark, CONTROL, sf_dir) for _ in range(runs)), 3)
     models = {}
     if os.environ.get("BENCH_MODELS", "1") != "0":
         for k in MODELS:
@@ -75,6 +90,7 @@ def main():
         "unit": "sec",
         "queries": times,
         "models": models,
+        "control": control,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
