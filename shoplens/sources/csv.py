@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType, StringType
 
+from shoplens.sources.quoted_csv import read_quoted_csv
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
@@ -20,21 +22,26 @@ def ntz_schema(schema: StructType) -> StructType:
 def read_csv(spark: SparkSession, path: str, schema: StructType, *,
              multiline: bool = False, check_header: bool = False,
              keep_corrupt: bool = False, ntz: bool = False,
-             options: dict | None = None) -> DataFrame:
+             options: dict | None = None, split: bool = True) -> DataFrame:
     """Read CSV with a header row under ``schema``.
 
     * Fields that do not parse become null (PERMISSIVE); with ``keep_corrupt``
       the raw line of such a row is kept in ``_corrupt_record``.
     * A quote inside a quoted field is doubled, as ``sinks.tables.write_csv``
       writes it; this leaves files splittable.
-    * ``multiline`` reads quoted fields with newlines; such a file is read by one task, so use it only for free-text tables.
+    * ``multiline`` reads quoted fields with newlines. Such a file is read by
+      many tasks in two passes (``sources.quoted_csv``), at once; without
+      ``split`` Spark's own reader takes it lazily, in one task a file.
     * ``check_header`` binds columns by header name and raises on a header
       that differs from the schema; by default columns bind by position.
     * ``ntz`` reads timestamps as wall-clock (NTZ) values.
     """
-    schema = ntz_schema(schema) if ntz else schema
+    schema = declared = ntz_schema(schema) if ntz else schema
     if keep_corrupt:
         schema = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
+    if multiline and split:
+        corrupt = {"columnNameOfCorruptRecord": CORRUPT_COLUMN} if keep_corrupt else {}
+        return read_quoted_csv(spark, path, schema, corrupt | (options or {}), check_header, declared)
     reader = (spark.read.format("csv")
               .option("header", "true")
               .option("inferSchema", "false")
