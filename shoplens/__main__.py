@@ -5,7 +5,8 @@
     python -m shoplens quality --root ROOT
     python -m shoplens quarantine --root ROOT
     python -m shoplens profile --root ROOT --table orders_enriched
-    python -m shoplens silver  --root ROOT
+    python -m shoplens bucket  --root ROOT [--buckets 2000]
+    python -m shoplens silver  --root ROOT [--bucketed]
     python -m shoplens gold    --root ROOT [--as-of 2018-09-01]
     python -m shoplens models  --root ROOT [--k 5 --rank 10 --max-iter 10 --reg 0.01]
     python -m shoplens all     --source DIR --root ROOT [...]
@@ -39,12 +40,14 @@ def _session(master: str | None) -> SparkSession:
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="shoplens")
-    p.add_argument("step", choices=["load", "verify", "quality", "quarantine", "silver", "profile", "gold", "models", "all"])
+    p.add_argument("step", choices=["load", "verify", "quality", "quarantine", "bucket", "silver", "profile", "gold", "models", "all"])
     p.add_argument("--source", help="folder of the nine source CSV files")
     p.add_argument("--root", required=True, help="storage root for bronze/silver/gold/models")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append", "ignore", "error"])
     p.add_argument("--fmt", default="parquet")
     p.add_argument("--table", default="orders_enriched", help="silver table for the profile step")
+    p.add_argument("--buckets", type=int, default=None, help="buckets of the stored orders (default: the shuffle partitions)")
+    p.add_argument("--bucketed", action="store_true", help="silver joins the orders from their buckets")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--k", type=int, default=5)
     p.add_argument("--rank", type=int, default=10)
@@ -71,8 +74,11 @@ def main(argv=None) -> None:
             out = layers.quarantine_bronze(spark, a.root, a.fmt)
         elif step == "profile":
             out = layers.silver_null_profile(spark, a.root, a.table, a.fmt)
+        elif step == "bucket":
+            n = a.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            out = layers.bucket_orders(spark, a.root, n, a.fmt)
         elif step == "silver":
-            out = layers.build_silver(spark, a.root, a.fmt)
+            out = layers.build_silver(spark, a.root, a.fmt, a.bucketed)
         elif step == "gold":
             out = layers.build_gold(spark, a.root, a.as_of, a.fmt)
         else:

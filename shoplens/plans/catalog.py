@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators import enrich, features, quality
+from shoplens.plans import buckets
 from shoplens.plans.layers import load_table
 from shoplens.schemas import ORDERS, table_specs
 from shoplens.session import scratch_path
@@ -78,6 +79,14 @@ def stored_products_enriched(spark, d):
     return read_table(spark, path)
 
 
+def stored_orders_enriched(spark, d):
+    """orders_enriched from orders, items and reviews stored in buckets by order."""
+    path, n = scratch_path(spark, "bucketed-orders"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = ("orders", "order_items", "reviews")
+    buckets.store_bucketed(dict(zip(names, _fx(spark, d, *names))), path, "order_id", n)
+    return buckets.orders_enriched(buckets.BucketedSet(spark, path))
+
+
 def bronze_row_counts(spark, d):
     return row_counts(fixtures(spark, d))
 
@@ -264,6 +273,7 @@ QUERIES = {
     "csv_roundtrip_orders": csv_roundtrip_orders,
     "csv_roundtrip_reviews": csv_roundtrip_reviews,
     "stored_products_enriched": stored_products_enriched,
+    "stored_orders_enriched": stored_orders_enriched,
     "bronze_row_counts": bronze_row_counts,
     "orders_enriched": orders_enriched,
     "orders_items_joined": orders_items_joined,

@@ -165,6 +165,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM b_order_items GROUP BY order_id) ov ON ov.order_id = o.order_id GROUP BY 1"),
         "bronze_row_counts": _with() + counts,
         "orders_enriched": _with(E1) + "SELECT * FROM e1",
+        "stored_orders_enriched": _with(E1) + "SELECT * FROM e1",
         "orders_items_joined": _with() + (
             f"SELECT {_cols('o', ORDER_COLS)}, {_cols('i', ITEM_COLS)} "
             "FROM b_orders o LEFT JOIN b_order_items i ON i.order_id = o.order_id"),
