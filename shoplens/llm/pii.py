@@ -12,7 +12,9 @@ confident patterns find are added, and count as evidence in the next turn.
 from __future__ import annotations
 
 import bisect
+import hashlib
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -21,8 +23,12 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import free_names, save, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Turns of the graph, distinct seeds a pattern needs, and lowest confidences.
-ROUNDS, SUPPORT, PATTERN_CONFIDENCE, VALUE_SCORE = 2, 3, 0.7, 0.9
+#: Distinct seeds a pattern needs, and lowest confidences.
+SUPPORT, PATTERN_CONFIDENCE, VALUE_SCORE = 3, 0.7, 0.9
+#: The graph takes turns until one adds no value; more than this many raise ``NotSettled``.
+MOST_ROUNDS = 50
+#: Context words above this length stand by a digest.
+LONG_WORD = 40
 
 # The base expressions.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -32,12 +38,19 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _HINT = re.compile(r"[0-9@][^\x20\x09-\x0D]*")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Neighbouring groups of digits, between white space or punctuation, and the digits of one identifier.
-_RUN = re.compile(r"(?<![^\x20\x09-\x0D\"'`,;:!?(\[{<>*#$%&|])\(?[0-9]+(?:[\x20().-]{1,3}[0-9]+)+(?![^\x20\x09-\x0D\"'`.,;:!?)\]}<>*#$%&|])")
+_GROUP = re.compile(r"[0-9]+")
+#: Neighbouring groups of digits, what may stand before and after a run of them, and the digits of one identifier.
+_RUN = re.compile(r"(?<![0-9])[0-9]+(?:[\x20().-]{1,3}[0-9]+)+")
+_BEFORE = "\x20\t\n\x0b\x0c\r\"'`,;:!?([{<>*#$%&|"
+_AFTER = "\x20\t\n\x0b\x0c\r\"'`.,;:!?)]}<>*#$%&|"
 RUN_DIGITS = (7, 19)
 _EDGE = "\"'`.,;:!?()[]{}<>*#$%&|"
 
 
+class NotSettled(RuntimeError):
+    """The graph of patterns and values still grew after ``MOST_ROUNDS`` turns."""
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -92,11 +105,96 @@ def _fits(kind: int, value: str) -> bool:
     return "@" in value if kind == 0 else len(_digits(value)) >= (4, 4, 12, 7)[kind]
 
 
+def _digit_runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """The digit groups of each run of at least two, from the first that begins to the last that ends as a word does."""
+    for m in _RUN.finditer(text):
+        groups = [g.span() for g in _GROUP.finditer(text, *m.span())]
+        first = next((i for i, (a, _) in enumerate(groups) if a == 0 or text[a - 1] in _BEFORE), len(groups))
+        last = next((i for i in range(len(groups) - 1, -1, -1) if groups[i][1] == len(text) or text[groups[i][1]] in _AFTER), -1)
+        if last > first:
+            yield groups[first:last + 1]
+
+
+def _run_parts(text: str, groups: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The run, if it has the digits of one identifier; of a longer one its beginnings and ends that have.
+
+    What lies between has no word beside it that a pattern could know. A
+    bracket before the first group belongs to it, if one closes in the part.
+    """
+    start, end = groups[0][0], groups[-1][1]
+    sizes = [b - a for a, b in groups]
+    found = []
+    if sum(sizes) <= RUN_DIGITS[1]:
+        found += [(start, end)] * (sum(sizes) >= RUN_DIGITS[0])
+    else:
+        for order in (range(len(groups)), range(len(groups) - 1, -1, -1)):
+            n = 0
+            for taken, i in enumerate(order, 1):
+                n += sizes[i]
+                if n > RUN_DIGITS[1]:
+                    break
+                if n >= RUN_DIGITS[0] and taken > 1:
+                    found.append((start, groups[i][1]) if order.step > 0 else (groups[i][0], end))
+    return [(a - (a > 0 and text[a - 1] == "(" and (a == 1 or text[a - 2] in _BEFORE) and ")" in text[a:b]), b) for a, b in found]
+
+
+class _Context:
+    """The words beside places of a text, in time linear in the text.
+
+    Words end at white space and where another place begins or ends. A word
+    of more than ``LONG_WORD`` characters stands by its SHA-1.
+    """
+
+    def __init__(self, text: str, places: list[tuple]):
+        self.text = text
+        self.words = [m.span() for m in _WORD.finditer(text)]
+        self.word_starts = [a for a, _ in self.words]
+        self.place_starts = sorted(a for a, _, _ in places)
+        self.place_ends = sorted(b for _, b, _ in places)
+        self.whole: dict[int, str] = {}
+
+    @staticmethod
+    def plain(word: str) -> str:
+        word = word.strip(_EDGE).lower()
+        return word if len(word) <= LONG_WORD else "#" + hashlib.sha1(word.encode("utf-8", "surrogatepass")).hexdigest()
+
+    def word(self, i: int) -> str:
+        if i not in self.whole:
+            self.whole[i] = self.plain(self.text[slice(*self.words[i])])
+        return self.whole[i]
+
+    def left(self, a: int) -> list[str]:
+        """The two words before ``a``, or as many as there are."""
+        i = bisect.bisect_left(self.word_starts, a) - 1  # the word that holds or precedes a
+        found = []
+        if i >= 0 and self.words[i][1] >= a:
+            at = bisect.bisect_right(self.place_ends, a) - 1
+            piece = self.text[max(self.words[i][0], self.place_ends[at] if at >= 0 else 0):a].rstrip(_EDGE)
+            if piece:
+                found.append(self.plain(piece))
+            i -= 1
+        while i >= 0 and len(found) < 2:
+            found.append(self.word(i))
+            i -= 1
+        return found[::-1]
+
+    def right(self, b: int) -> str:
+        """The word after ``b`` and the one character there."""
+        i = bisect.bisect_right(self.word_starts, b + 1) - 1  # the word that holds b + 1
+        if i >= 0 and self.word_starts[i] < b + 1 < self.words[i][1]:
+            at = bisect.bisect_left(self.place_starts, b)
+            end = min(self.words[i][1], self.place_starts[at] if at < len(self.place_starts) else len(self.text))
+            if piece := self.text[b + 1:end].strip(_EDGE):
+                return self.plain(piece)
+        i = bisect.bisect_left(self.word_starts, b + 1)
+        return self.word(i) if i < len(self.words) else ""
+
+
 def tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
     """(start, end, value, kind or None, patterns) of seeds and other identifier-shaped tokens.
 
     A run of neighbouring digit groups with the digits of one identifier is a
-    candidate as a whole, beside the tokens in it.
+    candidate as a whole, beside the tokens in it (``_run_parts``).
     """
     places = [(a, b, k) for a, k, b in spans]
     covered, last = [], -1
@@ -112,28 +210,27 @@ def tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
         at = bisect.bisect_left(starts, b)
         return at == 0 or covered[at - 1][1] <= a
 
+    low = 0  # no word before this place holds the next hint
     for m in _HINT.finditer(text):
         a, b = m.start(), m.end()
-        while a > 0 and text[a - 1] not in "\x20\t\n\x0b\x0c\r":
+        while a > low and text[a - 1] not in "\x20\t\n\x0b\x0c\r":
             a -= 1
+        low = m.end()
         while a < b and text[a] in _EDGE:
             a += 1
         while b > a and text[b - 1] in _EDGE:
             b -= 1
         if b - a >= 5 and apart(a, b) and any(_fits(k, text[a:b]) for k in range(len(KINDS))):
             places.append((a, b, None))
-    single = {(a, b) for a, b, _ in places}
-    for m in _RUN.finditer(text):
-        a, b = m.span()
-        if text[a] == "(" and ")" not in m[0]:
-            a += 1
-        if RUN_DIGITS[0] <= len(_digits(m[0])) <= RUN_DIGITS[1] and (a, b) not in single and apart(a, b):
-            places.append((a, b, None))
-    out = []
+    taken = {(a, b) for a, b, _ in places}
+    for groups in _digit_runs(text):
+        for part in _run_parts(text, groups):
+            if part not in taken and apart(*part):
+                taken.add(part)
+                places.append((*part, None))
+    context, out = _Context(text, places), []
     for a, b, k in places:
-        before = [w.strip(_EDGE).lower() for w in text[max(0, a - 80):a].rstrip("".join(_EDGE)).split()[-2:]]
-        after = _WORD.search(text, b + 1)
-        right = after[0][:40].strip(_EDGE).lower() if after and after.start() - b < 40 else ""
+        before, right = context.left(a), context.right(b)
         left = before[-1] if before else ""
         patterns = [f"l:{left}", f"r:{right}", f"b:{left} _ {right}"]
         if len(before) == 2:
@@ -178,17 +275,20 @@ def _fits_kind(kind: Column, value: Column) -> Column:
     return F.when(kind == 0, F.contains(value, F.lit("@"))).otherwise(n >= least)
 
 
-def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
+def bootstrap(found: DataFrame, rounds: int = MOST_ROUNDS, support: int = SUPPORT,
               pattern_confidence: float = PATTERN_CONFIDENCE, value_score: float = VALUE_SCORE) -> DataFrame:
     """(value, kind, score) of the seeds and of the unseen values that confident patterns find.
 
     ``found`` has value, kind (null if unseen) and patterns. Edges are made
-    distinct first, so a value repeated in a third of the rows is one row.
+    distinct first, so a value repeated in a third of the rows is one row. More
+    known values never lower a confidence or a score, so the values only grow, and
+    turns go on until none is added; ``NotSettled`` if ``rounds`` are too few.
     """
     edges = save(found.select("value", F.explode("patterns").alias("pattern")).distinct(), "pii-edges")
     known = save(found.where("kind is not null").select("value", "kind").distinct().withColumn("score", F.lit(1.0)), "pii-seeds")
     seeds = known
     totals = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+    size = known.count()
     for turn in range(rounds):
         evidence = (edges.join(known, "value").groupBy("pattern", "kind")
                     .agg(F.sum("score").alias("score"), F.count("*").alias("support")).where(F.col("support") >= support))
@@ -198,11 +298,14 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
                   .agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score"))
                   .where((F.col("score") >= value_score) & _fits_kind(F.col("kind"), F.col("value"))))
         new = scored.join(seeds.select("value").distinct(), "value", "left_anti")
-        known = save(seeds.unionByName(new), f"pii-known-{turn}")
-    return known
+        known, before = save(seeds.unionByName(new), f"pii-known-{turn}"), size
+        size = known.count()
+        if size == before:
+            return known
+    raise NotSettled(f"values are still added after {rounds} turns")
 
 
-def find_spans(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, pattern_confidence: float = PATTERN_CONFIDENCE,
+def find_spans(docs: DataFrame, rounds: int = MOST_ROUNDS, support: int = SUPPORT, pattern_confidence: float = PATTERN_CONFIDENCE,
                value_score: float = VALUE_SCORE) -> DataFrame:
     """Every document's ``base`` and ``extra`` spans: arrays of (start, kind, end).
 

@@ -182,8 +182,11 @@ def brute_bootstrap(rows, rounds, support, low, high):
                 edges.setdefault(p, set()).add(v)
     known = {x: 1.0 for x in seeds}
     old = {v for v, _ in seeds}
+    size = 0
     for _ in range(rounds):
-        scores = {}
+        if size == len(known):
+            break
+        size, scores = len(known), {}
         for vs in edges.values():
             for k in range(4):
                 own = [known[v, k] for v in vs if (v, k) in known]
@@ -194,7 +197,7 @@ def brute_bootstrap(rows, rounds, support, low, high):
     return known
 
 
-@pytest.mark.parametrize("settings_", [(2, 3, 0.7, 0.9), (3, 2, 0.4, 0.6), (1, 3, 0.7, 0.9)])
+@pytest.mark.parametrize("settings_", [(50, 3, 0.7, 0.9), (50, 2, 0.4, 0.6), (3, 3, 0.7, 0.9)])
 def test_bootstrap_equals_brute_force(spark, settings_):
     rows = planted() + [(None, None), (5, ""), (6, "x" * 3000 + " 12345678")]
     found = pii.occurrences(pii.scan(text_frame(spark, rows)))
@@ -233,6 +236,71 @@ def test_numbers_of_several_tokens_are_found_whole(spark):
     assert not any("867" in masked[400 + i] for i in range(len(forms)))
 
 
+def chain(steps, at="step"):
+    """Seeds in one context; each next group of values shares a context with the group before it only."""
+    rows = [(i, f"{at}0 +1 555 555 {1000 + i} {at}0 words") for i in range(9)]
+    for k in range(1, steps + 1):
+        for i in range(9):
+            value = f"8{k}7-55{i}-0{k}{i}1"
+            rows += [(100 * k + 2 * i, f"{at}{k - 1} {value} {at}{k - 1} words"), (100 * k + 2 * i + 1, f"{at}{k} {value} {at}{k} words")]
+    return rows
+
+
+def test_turns_go_on_until_no_value_is_added(spark):
+    rows = chain(5)
+    found = pii.occurrences(pii.scan(text_frame(spark, rows)))
+    settings_ = (2, 0.2, 0.4)
+    known = {r["value"] for r in pii.bootstrap(found, 50, *settings_).collect()}
+    assert {f"8{k}7-55{i}-0{k}{i}1" for k in range(1, 6) for i in range(9)} <= known
+    assert known == {v for v, _ in brute_bootstrap(rows, 50, *settings_)}
+    with pytest.raises(pii.NotSettled):
+        pii.bootstrap(found, 3, *settings_)
+
+
+def plain_context(text, place, places):
+    """Words beside a place, by plain scans; no other place within the words."""
+    a, b = place
+    left = [pii._Context.plain(w) for w in re.findall(r"[^ \n]+", text[:a].rstrip(pii._EDGE))[-2:]]
+    right = re.findall(r"[^ \n]+", text[b + 1:])
+    return left, pii._Context.plain(right[0]) if right else ""
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["call", "(at", "id:", "x" * 50 + "y", "x" * 50 + "z", "a@b.org", "<12345>", ";", "\n", "no."]), max_size=12))
+def test_contexts_equal_plain_scans(words):
+    text = " ".join(words)
+    places = [(a, b, k) for a, k, b in pii.base_spans(text)]
+    places += [(a, b, None) for a, b, _, k, _ in pii.tokens(text, pii.base_spans(text)) if k is None]
+    context = pii._Context(text, places)
+    for a, b, _ in places:
+        assert (context.left(a), context.right(b)) == plain_context(text, (a, b), places)
+
+
+def test_contexts_are_whole_words():
+    text = "x" * 100 + "a 12345 " + "y" * 100 + " " + "x" * 100 + "b 12345 z" + " " * 500 + "far 123456"
+    (_, _, _, _, one), (_, _, _, _, two), (_, _, _, _, far) = pii.tokens(text, [])
+    assert one[0].startswith("l:#") and two[0].startswith("l:#") and one[0] != two[0] and far[0] == "l:far"
+    # beside another place a word ends there, and an empty piece gives way to the next word
+    spans = pii.base_spans("mail to:a@b.org,c@d.org now")
+    patterns = [t[4] for t in pii.tokens("mail to:a@b.org,c@d.org now", spans)]
+    assert patterns[0][0] == "l:to" and "r:now" in patterns[1] and "l:mail" in patterns[1]
+
+
+def test_long_runs_give_their_beginnings_and_ends():
+    text = "call 555 867 2000 555 123 4567 now"
+    values = {t[2] for t in pii.tokens(text, [])}
+    assert {"555 867 2000", "555 123 4567"} <= values and text[5:-4] not in values
+    text = "call (555) 867-2000 (555) 123-4567 now"
+    assert {"(555) 867-2000", "(555) 123-4567"} <= {t[2] for t in pii.tokens(text, [])}
+
+
+@pytest.mark.parametrize("text", ["1 " * 200_000, "1(" * 150_000, "1" * 400_000, "1 " * 200_000 + "a", "a1@b.co," * 30_000, "x" * 300_000 + " " + "a1@b.co," * 10_000, "1." * 150_000, "@" * 300_000])
+def test_no_text_stalls_the_search(text):
+    begun = time.monotonic()
+    pii.tokens(text, pii.base_spans(text))
+    assert time.monotonic() - begun < 20
+
+
 def test_pii_empty_table(spark):
     assert pii.find_spans(text_frame(spark, [])).count() == 0 and pii.redact(text_frame(spark, [])).count() == 0
 
