@@ -162,3 +162,33 @@ def test_draw_mix_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _turn int, __Key string")
     got = mixing.draw_mix(docs)
     assert got.schema == docs.schema and {tuple(r) for r in got.collect()} <= set(rows) and got.count() >= 20
+
+
+def test_mix_is_cut_once_on_the_global_order(spark):
+    """Brute force: all turns of all sources in one list by words over weight, cut where the words due reach the budget."""
+    from pyspark.sql import functions as F
+    rows = [(i, "a " * (1 + i * i % 23), "s%d" % (i % 5 % 4)) for i in range(150)]
+    df = frame(spark, rows)
+    draw = {r["doc_id"]: r["d"] for r in df.select("doc_id", F.xxhash64(F.lit(8), "doc_id", "text").alias("d")).collect()}
+    size = {s: sum(len(t.split()) for _, t, k in rows if k == s) for s in {r[2] for r in rows}}
+    weight = {"s0": 3, "s1": 1, "s2": 2, "s3": 3}
+    order = []
+    for s in size:
+        served = 0
+        for turn in range(2):
+            for d, t, _ in sorted((r for r in rows if r[2] == s), key=lambda r: draw[r[0]]):
+                order.append(((served + len(t.split()) / 2) / weight[s], draw[d], d, turn))
+                served += len(t.split())
+    due = lambda v: sum(min(v * weight[s], 2 * size[s]) for s in size)
+    taken = [(d, turn) for at, _, d, turn in sorted(order) if due(at) <= 1.5 * sum(size.values()) + 1e-9]  # a middle at the cut itself is taken
+    assert 0 < len(taken) < len(order) and any(due(1e9) > due(at) for at, *_ in order)
+    got = mixing.schedule(df.repartition(5))[1].collect()
+    assert [(r["doc_id"], r["turn"]) for r in got] == taken
+    assert sorted(r["doc_id"] for r in mixing.draw_mix(df).collect()) == sorted(d for d, _ in taken)
+
+
+def test_draw_mix_of_repeated_rows(spark):
+    rows = [(7, "a b c", "s")] * 6 + [(7, "a b c", None)] * 2 + [(None, None, "s"), (8, "", "s")]
+    got = mixing.draw_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    times = {r["doc_id"]: r["times"] for r in mixing.mix(frame(spark, [(i, "a b c", "s") for i in range(6)] + [(i, "a b c", None) for i in (6, 7)])).collect()}
+    assert {r["doc_id"] for r in got} == {7} and len(got) == sum(times.values())
