@@ -61,6 +61,29 @@ def test_estimates_are_unbiased_and_bounded():
     assert abs(np.mean([np.diag(e).mean() for e in errors])) < 0.005
 
 
+def test_stored_codes_bound_every_product():
+    """What the screen dismisses is below the threshold, and nearly all of what is far below is dismissed."""
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((40, 64))[rng.integers(0, 40, 500)] + 0.35 * rng.standard_normal((500, 64))
+    bits, n_bands = rabitq.bands_for(500)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(500)), pa.array(np.ones(500, int)), pa.array(np.zeros(500, np.int32)), pa.array(v.tolist())], ["cls", "n", "label", "embedding"])
+    rows = pa.Table.from_batches(rabitq._codes(bits, n_bands, np.float64)([batch])).sort_by("cls").to_pydict()
+    coded = rabitq.Coded(*(rows[c] for c in ("code", "factor", "query", "scale")), bits, n_bands)
+    assert coded.keys.tolist() == rows["keys"] and all(len(q) == 64 for q in rows["query"])
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    exact, own = unit @ unit.T, np.arange(500)
+    most = coded.most(coded, rabitq.EPSILON)
+    assert (most >= exact).mean() > 0.9995
+    found = {(a, b) for band in range(n_bands) for a, b in zip(*(x.tolist() for x in rabitq.undecided(coded, own, own, most, band, 0.93)), strict=True)
+             if (coded.keys[a, band] == coded.keys[b, band])}
+    shared = (coded.keys[:, None, :] == coded.keys[None, :, :]).any(axis=2)
+    linked = {(a, b) for a, b in np.argwhere(np.triu((exact >= 0.93) & shared, 1)).tolist()}
+    assert len(linked - found) <= 0.002 * len(linked) and len(linked) > 50
+    far = np.triu((exact < 0.2) & shared, 1)
+    assert sum(bool(far[p]) for p in found) <= 0.05 * far.sum()
+
+
 def brute(rows, threshold=rabitq.THRESHOLD):
     def unit(v):
         if v is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
