@@ -3,6 +3,7 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
 
 from conftest import sorted_rows
 from shoplens.operators import features
@@ -182,3 +183,31 @@ def test_baskets_of_a_hot_order_without_its_fan_out(spark):
     small = [d.where("order_id is null or order_id <> 'hot'") for d in (orders, items, reviews)]
     plain = features.order_baskets(small[0].join(small[1], "order_id", "left").join(small[2], "order_id", "left"))
     assert sorted_rows(features.order_baskets_from_tables(*small), plain.columns) == sorted_rows(plain)
+
+
+def test_baskets_and_pairs_are_dealt_out_by_their_rows(spark, monkeypatch):
+    """Many small orders: a task joins and groups a bounded number of lines, however few bytes they have."""
+    from shoplens.plans import skew
+    orders = spark.range(0, 3000).select(F.col("id").cast("string").alias("order_id"))
+    items = spark.range(0, 9000).select((F.col("id") % 2500).cast("string").alias("order_id"), (F.col("id") % 71).cast("string").alias("product_id"))
+    reviews = spark.range(0, 4000).select((F.col("id") % 1000).cast("string").alias("order_id"))
+    enriched = lambda o: o.join(items, "order_id", "left")
+    want = sorted_rows(features.order_baskets(enriched(orders).join(reviews, "order_id", "left")), ["order_id", "product_id", "copies"])
+    pairs = sorted_rows(features.product_cooccurrence(enriched(orders)))
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 500)
+    got = features.order_baskets_from_tables(orders, items, reviews)
+    assert sorted_rows(got, ["order_id", "product_id", "copies"]) == want
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 24 and max(sizes) <= 2 * 9500 / 24
+    dealt, = skew.spread_by_rows([enriched(orders)], "order_id", 9500)
+    assert sorted_rows(features.product_cooccurrence(dealt)) == pairs and dealt.rdd.getNumPartitions() == 19
+    assert skew.spread_by_rows([orders], "order_id", 500) == [orders]
+
+
+def test_cooccurrence_query_deals_out_its_lines(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from shoplens.plans import catalog, skew
+    want = sorted_rows(catalog.product_cooccurrence(spark, SF_SMALL))
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 600)
+    got = catalog.product_cooccurrence(spark, SF_SMALL)
+    assert sorted_rows(got) == want and "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
