@@ -66,10 +66,18 @@ def number_rows(df: DataFrame, key: str, order: list[str], slot: str, name: str)
 # ----------------------------------------------------------------- Arrow text
 
 def as_text(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """The column as one large-string array without nulls (null: empty)."""
+    """The column as one large-string array without nulls (null: empty), whose offsets start at 0.
+
+    A cast keeps the offsets of a slice, and ``pc.ascii_lower`` then returns an
+    array with these offsets over bytes that begin at the slice.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    if not len(texts):
+        return pa.array([], pa.large_string())
+    raw, offsets = text_buffers(texts)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(raw))
 
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

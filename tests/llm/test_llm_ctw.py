@@ -156,3 +156,29 @@ def test_no_node_is_lost_whatever_is_broadcast(spark, bits):
     out = ctw.score_documents(frame(spark, rows).repartition(3), depth=3, bits={2: bits, 3: bits}).collect()
     brute = Brute([t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1], 3)
     assert len(out) == len(rows) and all(abs(r["score"] - brute.log10(dict(rows)[r["doc_id"]])) < 1e-6 for r in out)
+
+
+def test_slices_of_a_batch_count_and_score_as_the_whole_batch(monkeypatch):
+    """A batch cut into many slices (the later ones start within its bytes) gives the same counts and scores."""
+    texts = [f"Text {i} AbA " * (i % 7) if i % 11 else None for i in range(60)]
+    out = [i % 5 == 1 for i in range(60)]
+    counts, scores = [], []
+    for size in (1 << 20, 64):
+        monkeypatch.setattr(ctw, "SLICE", size)
+        total = Counter()
+        for b in ctw._count(3)(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts), "held_out": pa.array(out)})])):
+            for kind, key, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                total[kind, key] += n
+        counts.append(total)
+        held = type("Held", (), {"value": (np.zeros(0, np.uint64), np.zeros(0))})()
+        rows = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(60)), "text": pa.array(texts), "held_out": pa.array(out)})
+        scores.append([r for b in ctw._score(3, held, held, 0.0, 0)(iter([rows])) for r in b.to_pylist()])
+    assert counts[0] == counts[1] and scores[0] == scores[1]
+
+
+def test_as_text_of_a_slice_starts_at_its_own_bytes():
+    for column in (pa.array(["Ab", None, "", "Cé", "DD"]), pa.array(["Ab", "x", "Cé", "DD"], pa.large_string())):
+        part = as_text(column.slice(1, 3))
+        assert np.frombuffer(part.buffers()[1], np.int64)[part.offset] == 0
+        assert pa.compute.ascii_lower(part).to_pylist() == [lower(t) for t in column.slice(1, 3).to_pylist()]
+    assert as_text(pa.array([], pa.string())).to_pylist() == [] and as_text(pa.array([None, None], pa.string())).to_pylist() == ["", ""]
