@@ -1,0 +1,110 @@
+"""Factorisation in bounded blocks: plain numpy, any layout, ids without ratings and with very many."""
+
+import numpy as np
+import pytest
+from pyspark.ml.recommendation import ALS
+
+from shoplens.operators import als, ml
+from shoplens.session import scratch_path
+
+
+def made(n=1500, users=37, items=29, seed=1):
+    rng = np.random.default_rng(seed)
+    rows = np.zeros(n, als.RATING)
+    rows["own"], rows["other"], rows["rating"] = rng.integers(0, users, n), rng.integers(0, items, n), rng.integers(1, 6, n)
+    rows["own"][: n // 3] = 5  # one customer with a third of all ratings
+    return rows
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(int(u), int(p), float(r)) for u, p, r in rows], "customer_idx int, product_idx int, rating float")
+
+
+def matrix(df):
+    found = {r["id"]: np.float32(r["features"]) for r in df.collect()}
+    return found, np.array([found[i] for i in sorted(found)])
+
+
+def half(own, other, rating, factors, ids, reg):
+    out = np.full((ids, factors.shape[1]), np.nan, np.float32)
+    for i in np.unique(own):
+        x = factors[other[own == i]].astype(float)
+        out[i] = np.linalg.solve(x.T @ x + reg * len(x) * np.eye(x.shape[1]), x.T @ rating[own == i].astype(float))
+    return out
+
+
+def first(ids, blocks, rank, seed):
+    x = np.empty((ids, rank), np.float32)
+    for b in range(blocks):
+        x[b::blocks] = next(als._first(ids, blocks, rank, seed)(b, []))[1]
+    return x
+
+
+def test_equals_plain_least_squares_on_any_layout(spark):
+    rows, est = made(), ALS(rank=4, maxIter=2, regParam=0.05, userCol="customer_idx", itemCol="product_idx", ratingCol="rating", seed=7, coldStartStrategy="drop")
+    rows = rows[rows["own"] != 9]  # a customer without ratings
+    x = first(37, -(-len(rows) // 300), 4, 7)
+    for _ in range(2):
+        y = half(rows["other"], rows["own"], rows["rating"], x, 29, 0.05)
+        x = half(rows["own"], rows["other"], rows["rating"], y, 37, 0.05)
+    df = frame(spark, rows.tolist())
+    models = [als.fit(d, est, 37, 29, len(rows), per_block=300) for d in (df.repartition(3), df.repartition(7, "product_idx"))]
+    for model in models:
+        users, items = matrix(model.userFactors), matrix(model.itemFactors)
+        assert sorted(users[0]) == [i for i in range(37) if i != 9] and sorted(items[0]) == list(range(29))
+        assert np.allclose(users[1], np.delete(x, 9, 0), rtol=1e-4, atol=1e-5) and np.allclose(items[1], y, rtol=1e-4, atol=1e-5)
+    assert (matrix(models[0].userFactors)[1] == matrix(models[1].userFactors)[1]).all()
+    library = est.fit(df)
+    error = [float(np.sqrt(np.mean([(r["prediction"] - r["rating"]) ** 2 for r in m.transform(df).collect()]))) for m in (models[0], library)]
+    assert abs(error[0] - error[1]) < 0.1
+
+
+def test_a_block_has_every_rating_in_one_cell_once():
+    rows = made()
+    seen = 0
+    for block in range(4):
+        mine = rows[rows["own"] % 4 == block]
+        cells = list(als.cells_of(mine, block, 37, 4, 3))
+        assert [c[0] for c in cells] == [0, 1, 2] and [c[1] is None for c in cells] == [False, True, True]
+        counts, order, rating = cells[0][1]
+        own, other = np.empty(len(mine), int), np.empty(len(mine), int)
+        for s, _, place, row in cells:
+            other[place] = row * 3 + s
+        own[:] = np.repeat(order, counts[order]) * 4 + block
+        assert sorted(zip(own, other, rating)) == sorted(mine.tolist())
+        again = list(als.cells_of(mine[::-1], block, 37, 4, 3))
+        assert all((a[2] == b[2]).all() and (a[3] == b[3]).all() for a, b in zip(cells, again)) and (again[0][1][2] == rating).all()
+        seen += len(mine)
+    assert seen == len(rows)
+
+
+def test_ids_with_many_ratings_are_summed_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    counts, rank = np.array([0, 700, 3, 3, 0, 41]), 3
+    order = np.argsort(counts, kind="stable")
+    met, rating = rng.standard_normal((counts.sum(), rank)).astype(np.float32), rng.integers(1, 6, counts.sum()).astype(np.float32)
+    monkeypatch.setattr(als, "SOLVED", 50)
+    got = als.solved(counts, order, rating, met, 0.1)
+    at = np.r_[0, np.cumsum(counts[order])]
+    for j, i in enumerate(order):
+        x = met[at[j]:at[j + 1]].astype(float)
+        want = np.linalg.solve(x.T @ x + 0.1 * len(x) * np.eye(rank), x.T @ rating[at[j]:at[j + 1]]) if len(x) else np.full(rank, np.nan)
+        assert np.allclose(got[i], want, rtol=1e-5, equal_nan=True)
+
+
+@pytest.mark.parametrize("blocks", [None, 2])
+def test_many_ratings_are_fitted_in_bounded_blocks(spark, monkeypatch, blocks):
+    """Above the library's share, no block holds more than its part of the ratings, unless the caller names the blocks."""
+    rows = [(str(u), str(p), r) for u, p, r in made(600).tolist()] + [("none", None, 3.0)]
+    inter = spark.createDataFrame(rows, "customer_id string, product_id string, rating double")
+    laid, original = [], als.laid_out
+    monkeypatch.setattr(ml, "FEW_RATINGS", 500)
+    monkeypatch.setattr(als, "PER_BLOCK", 100)
+    monkeypatch.setattr(als, "laid_out", lambda *a: laid.append(a[-2:]) or original(*a))
+    fitted = ml.fit_recommender(inter, rank=3, max_iter=1, blocks=blocks)
+    assert laid == ([(6, 6), (6, 6)] if blocks is None else [])
+    best = ml.recommend(*fitted, 4)
+    assert best.count() == 4 * len({u for u, p, _ in rows if p is not None})
+    path = ml.save_recommender(*fitted, scratch_path(spark, "recommender"))
+    key = lambda d: sorted(tuple(r) for r in d.collect())
+    assert key(ml.recommend(*ml.load_recommender(spark, path), 4)) == key(best)
